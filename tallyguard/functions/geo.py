@@ -34,7 +34,8 @@ EARTH_RADIUS_KM = 6371.0
 
 def city_table(spark: SparkSession) -> DataFrame:
     """The known cities as a DataFrame; its 19 rows are safe to broadcast."""
-    return spark.createDataFrame(CITIES, "city_key string, lat double, lon double")
+    rows = ", ".join(f"('{city}', {lat}D, {lon}D)" for city, lat, lon in CITIES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS city(city_key, lat, lon)")
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
