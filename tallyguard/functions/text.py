@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the characters that count as white space when trimming.
@@ -32,15 +32,17 @@ def contains_ignore_case(value: Column, term: str) -> Column:
     return F.coalesce(F.lower(value), F.lit("")).contains(term.lower())
 
 
-def first_present(df: DataFrame, names: Iterable[str]) -> Column:
-    """First non-null of several spellings of one field, skipping absent columns."""
-    present = [F.col(name) for name in names if name in df.columns]
-    return F.coalesce(*present) if present else F.lit(None).cast("string")
+def first_field(row: str, names: Iterable[str]) -> Column:
+    """First non-null of several spellings of one field in a map column.
 
+    Only null falls through to the next spelling; empty text and false do not.
+    """
+    return F.coalesce(*[F.try_element_at(F.col(row), F.lit(name)) for name in names])
 
-def first_field(struct: str, names: Iterable[str]) -> Column:
-    """First non-null of several spellings of one field inside a struct column."""
-    return F.coalesce(*[F.col(f"{struct}.{name}") for name in names])
+
+def truthy_text(value: Column) -> Column:
+    """Text of a JSON value counts as true unless null, empty, false or zero."""
+    return F.coalesce(~value.isin("", "false", "0"), F.lit(False))
 
 
 def all_of(conditions: Iterable[Column]) -> Column:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyguard.operators.ordered import running
+from tallyguard.params import ScaleParams
+
 IN_STOCK = "IN STOCK"
 OUT_OF_STOCK = "OUT OF STOCK"
 
@@ -37,6 +40,13 @@ EXTRA_PINCODES = [
     "412308",
 ]
 
+# Fixed value: a true "serviceable" field, or the same words inside some text.
+SERVICEABLE = (
+    r'"serviceable"\s*:\s*true'
+    r"|'serviceable': true"
+    r'|\\"(is)?serviceable\\": true'
+)
+
 KEY = ["retailer", "product", "pincode"]
 
 
@@ -72,9 +82,9 @@ def sweep_grid(places: DataFrame, pairs: Sequence[tuple[str, str, str]] = PRODUC
 
 
 def _truthy(value: Column) -> Column:
-    """JSON text of a value counts unless absent, null, false, zero or empty."""
-    bare = F.regexp_replace(value, r"\s", "")
-    falsy = bare.isin("", "null", "false", "0", "0.0", "-0", "-0.0", "[]", "{}", '""')
+    """A JSON value counts unless it is absent, null, false, zero or empty."""
+    text = F.to_json(value)
+    falsy = text.isin("null", "false", "0", "0.0", "-0.0", "[]", "{}", '""')
     return F.coalesce(~falsy, F.lit(False))
 
 
@@ -84,11 +94,11 @@ def classify(retailer: Column, http_status: Column, body: Column) -> Column:
     parsed = F.try_parse_json(body)
     refused = text.contains("not serviceable") | text.contains("out of stock")
     promised = (
-        _truthy(F.get_json_object(body, "$.pinCodeDetails"))
-        | _truthy(F.get_json_object(body, "$.promiseDetails"))
+        _truthy(F.try_variant_get(parsed, "$.pinCodeDetails", "variant"))
+        | _truthy(F.try_variant_get(parsed, "$.promiseDetails", "variant"))
         | text.contains("eddmessage")
     )
-    serviceable = text.rlike(r'"serviceable"\s*:\s*true')
+    serviceable = text.rlike(SERVICEABLE)
     by_detail = F.when(refused, OUT_OF_STOCK).when(promised, IN_STOCK).otherwise(OUT_OF_STOCK)
     by_service = F.when(serviceable, IN_STOCK).otherwise(OUT_OF_STOCK)
     return (
@@ -134,15 +144,16 @@ def next_state(current: DataFrame) -> DataFrame:
     return hits(current).select(alert_key().alias("alert_key")).distinct()
 
 
-def restock_transitions(results: DataFrame) -> DataFrame:
+def restock_transitions(results: DataFrame, scale: ScaleParams | None = None) -> DataFrame:
     """For a history of runs: hits that the run before did not have.
 
-    The runs themselves are few, so their order is worked out on distinct run
-    numbers; the hits are compared by one anti join on (run before, key).
+    The order of the runs is worked out on their distinct numbers; the hits
+    are compared by one anti join on (run before, key).
     """
-    runs = results.select("run_id").distinct()
-    order = Window.orderBy("run_id")
-    previous = runs.withColumn("previous_run", F.lag("run_id").over(order))
+    runs = results.select("run_id").distinct().withColumn("_all", F.lit(0))
+    previous = running(
+        runs, ["_all"], "run_id", last={"previous_run": F.col("run_id")}, scale=scale
+    ).drop("_all")
     found = hits(results).select("run_id", *KEY).distinct()
     seen = found.withColumnRenamed("run_id", "previous_run")
     return found.join(previous, "run_id").join(seen, ["previous_run", *KEY], "left_anti")

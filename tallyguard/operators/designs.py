@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyguard.functions.labels import (
     compile_status_group,
@@ -14,7 +13,14 @@ from tallyguard.functions.labels import (
     version_status_group,
     yes_no,
 )
-from tallyguard.functions.text import all_of, contains_ignore_case, first_field, is_blank, strip
+from tallyguard.functions.text import (
+    all_of,
+    contains_ignore_case,
+    first_field,
+    is_blank,
+    strip,
+    truthy_text,
+)
 
 # The spellings under which records carry each field, first one wins.
 TYPE_NAME = [
@@ -72,12 +78,6 @@ GRID_FIELDS = {
 }
 
 
-def permissive_row(*spellings: Sequence[str]) -> StructType:
-    """A row type that reads every known spelling of the given fields as text."""
-    names = dict.fromkeys(name for group in spellings for name in group)
-    return StructType([StructField(name, StringType()) for name in names])
-
-
 def design_types(rows: DataFrame) -> DataFrame:
     """Unwrapped rows as complete (id, name) pairs; the name is kept untrimmed."""
     pairs = rows.select(
@@ -142,8 +142,8 @@ def mappings(rows: DataFrame) -> DataFrame:
         "row_index",
         F.coalesce(first_field("row", MAPPING_NAME), empty).alias("design_name"),
         F.coalesce(first_field("row", MAPPING_ABBREVIATION), empty).alias("abbreviation"),
-        yes_no(first_field("row", MAPPING_MULTIPLE).cast("boolean")).alias("multiple_instance"),
-        yes_no(first_field("row", MAPPING_INCLUDED).cast("boolean")).alias("include"),
+        yes_no(truthy_text(first_field("row", MAPPING_MULTIPLE))).alias("multiple_instance"),
+        yes_no(truthy_text(first_field("row", MAPPING_INCLUDED))).alias("include"),
     )
 
 

@@ -6,7 +6,7 @@ lookup. Alerts carry the arrival and event time of the record that raised them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyguard.functions.geo import city_table, haversine_km, round_half_up
@@ -288,12 +288,27 @@ def velocity_hopping(txns: DataFrame, params: RuleParams, slide_seconds: int) ->
     )
 
 
-def velocity_session(txns: DataFrame, params: RuleParams, gap_seconds: int) -> DataFrame:
-    """Counts per burst of activity, closed by a gap, above the threshold."""
-    session = F.session_window("record_ts", f"{gap_seconds} seconds")
+def velocity_sliding(txns: DataFrame, params: RuleParams) -> DataFrame:
+    """Records that see more than the threshold in the window that ends with them.
+
+    A window reaches back at most one bucket of its own length, so every record
+    is counted in its bucket and the next one. Each (account, bucket) is a
+    window of its own, which spreads a busy account over time.
+    """
+    size = params.window_seconds * 1000
+    millis = F.unix_millis("record_ts")
+    bucket = F.call_function("div", millis, F.lit(size))
+    copies = txns.where(F.col("account_id").isNotNull()).select(
+        "*",
+        millis.alias("_ms"),
+        F.explode(F.array(F.lit(0), F.lit(1))).alias("_step"),
+    )
+    frame = (
+        Window.partitionBy("account_id", "_bucket").orderBy("_ms").rangeBetween(1 - size, 0)
+    )
     return (
-        txns.where(F.col("account_id").isNotNull())
-        .groupBy("account_id", session.alias("window"))
-        .agg(F.count(F.lit(1)).alias("count"))
-        .where(F.col("count") > params.count_threshold)
+        copies.withColumn("_bucket", bucket + F.col("_step"))
+        .withColumn("count", F.count(F.lit(1)).over(frame))
+        .where((F.col("_step") == 0) & (F.col("count") > params.count_threshold))
+        .drop("_ms", "_step", "_bucket")
     )

@@ -4,24 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType
 
+# Rows keep every field under its own spelling; unlike struct fields, map keys
+# tell Name and name apart. Values are the text of the JSON value.
+ROWS = "array<map<string,string>>"
 
-def payload_rows(payload: Column, row: StructType) -> Column:
+
+def payload_rows(payload: Column) -> Column:
     """The rows of a payload as an array, whichever envelope it uses.
 
     Anything else - another shape, broken text, null - has no rows.
     """
     is_array = F.startswith(F.ltrim(payload), F.lit("["))
-    as_array = F.from_json(payload, ArrayType(row))
-    as_object = F.from_json(payload, StructType([StructField("rows", ArrayType(row))]))
+    as_array = F.from_json(payload, ROWS)
+    as_object = F.from_json(payload, f"struct<rows:{ROWS}>")
     found = F.when(is_array, as_array).otherwise(as_object["rows"])
-    return F.coalesce(found, F.array().cast(ArrayType(row)))
+    return F.coalesce(found, F.array().cast(ROWS))
 
 
-def unwrap_rows(payloads: DataFrame, row: StructType, payload: str = "payload") -> DataFrame:
+def unwrap_rows(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """One output row per payload row; ``row_index`` is its place in the payload."""
     others = [name for name in payloads.columns if name != payload]
-    rows = payload_rows(F.col(payload), row)
+    rows = payload_rows(F.col(payload))
     exploded = payloads.select(*others, F.posexplode(rows).alias("row_index", "row"))
     return exploded.where(F.col("row").isNotNull())
