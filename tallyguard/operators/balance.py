@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyguard.functions.money import from_cents, to_cents
-from tallyguard.operators.ordered import CHUNK, COLD, hot_keys, mark_chunks
+from tallyguard.operators.ordered import CHUNK, COLD, FIND, mark_chunks, resolve_hot
 from tallyguard.params import ScaleParams
 from tallyguard.schemas import MONEY
 from tallyguard.session import checkpoint_root, scratch_path
@@ -35,7 +35,17 @@ FROZEN = "ACCOUNT_FROZEN"
 INSUFFICIENT = "INSUFFICIENT_FUNDS"
 
 _GROUP = ["account_id", CHUNK]
-_CARRIED = "transaction_id, account_id, type, cents, city, event_ms, arrival, partition"
+CARRIED = [
+    "transaction_id",
+    "account_id",
+    "type",
+    "cents",
+    "city",
+    "event_ms",
+    "arrival",
+    "partition",
+]
+_PASSED = [*CARRIED, CHUNK, "spans"]
 _FOLD_OUTPUT = (
     "transaction_id string, account_id string, type string, cents long, city string, "
     f"event_ms long, arrival long, partition int, {CHUNK} long, spans boolean, "
@@ -49,6 +59,7 @@ def apply_transactions(
     ledger: DataFrame,
     freezes: DataFrame | None = None,
     scale: ScaleParams | None = None,
+    hot: DataFrame | str | None = FIND,
 ) -> DataFrame:
     """The outcome of every transaction, and the balance after each applied one.
 
@@ -57,51 +68,44 @@ def apply_transactions(
     unique per account.
     """
     scale = scale or ScaleParams()
-    spark = txns.sparkSession
-    checkpoint_root(spark)
+    checkpoint_root(txns.sparkSession)
     keyed = txns.where(F.col("account_id").isNotNull())
-    hot = hot_keys(keyed, ["account_id"], scale).checkpoint()
-
-    rows = _with_facts(_with_ledger(_narrow(keyed), ledger), accounts, freezes, hot, scale)
-    # Neither of these touches a balance, whatever comes before them.
-    static = (
+    hot = resolve_hot(keyed, ["account_id"], scale, hot)
+    rows = _with_ledger(_narrow(keyed), ledger)
+    rows = _with_facts(rows, accounts, freezes, hot, scale)
+    running = _all_apply(rows if hot is None else rows.where(F.col(CHUNK) == COLD))
+    by_sums = F.coalesce(F.col("opening_cents") + F.col("lowest") >= 0, F.lit(True))
+    decided = ~F.col("live") | by_sums
+    fast = running.where(decided).select(
+        *CARRIED,
         F.when(F.col("in_ledger"), DUPLICATE)
-        .when(F.col("opening_cents").isNull(), UNKNOWN)
-        .alias("outcome")
-    )
-    no_balance = F.lit(None).cast("long").alias("balance_cents")
-    carried = [name.strip() for name in _CARRIED.split(",")]
-    outright = rows.where(F.col("in_ledger") | F.col("opening_cents").isNull()).select(
-        *carried, static, no_balance
-    )
-    nameless = _narrow(txns.where(F.col("account_id").isNull())).select(
-        *carried, F.lit(UNKNOWN).alias("outcome"), no_balance
-    )
-    live = rows.where(~F.col("in_ledger") & F.col("opening_cents").isNotNull())
-
-    running = _all_apply(live.where(F.col(CHUNK) == COLD))
-    never_short = F.coalesce(F.col("opening_cents") + F.col("lowest") >= 0, F.lit(True))
-    fast = running.where(never_short).select(
-        *carried,
-        F.when(F.col("is_copy"), DUPLICATE)
+        .when(~F.col("live"), UNKNOWN)
+        .when(F.col("is_copy"), DUPLICATE)
         .when(F.col("blocked"), FROZEN)
         .otherwise(APPLIED)
         .alias("outcome"),
         (F.col("opening_cents") + F.col("moved")).alias("balance_cents"),
     )
-    slow = (
-        _fold(
-            running.where(~never_short)
-            .withColumn("entry_cents", F.col("opening_cents"))
-            .withColumn("copied_before", F.lit(False))
-            .withColumn("spans", F.lit(False))
-        )
-        .select(*carried, "outcome", "balance_cents")
+    slow = _fold(
+        running.where(~decided)
+        .withColumn("entry_cents", F.col("opening_cents"))
+        .withColumn("copied_before", F.lit(False))
+        .withColumn("spans", F.lit(False))
     )
-    settled = outright.unionByName(nameless).unionByName(fast).unionByName(slow)
-    if not hot.isEmpty():
-        chunked = _settle_chunks(live.where(F.col(CHUNK) != COLD))
-        settled = settled.unionByName(chunked.select(*carried, "outcome", "balance_cents"))
+    nameless = _narrow(txns.where(F.col("account_id").isNull())).select(
+        *CARRIED, F.lit(UNKNOWN).alias("outcome"), F.lit(None).cast("long").alias("balance_cents")
+    )
+    results = [*CARRIED, "outcome", "balance_cents"]
+    settled = fast.unionByName(slow.select(*results)).unionByName(nameless)
+    if hot is not None:
+        hot_rows = rows.where(F.col(CHUNK) != COLD)
+        outright = hot_rows.where(~F.col("live")).select(
+            *CARRIED,
+            F.when(F.col("in_ledger"), DUPLICATE).otherwise(UNKNOWN).alias("outcome"),
+            F.lit(None).cast("long").alias("balance_cents"),
+        )
+        chunked = _settle_chunks(hot_rows.where("live"))
+        settled = settled.unionByName(outright).unionByName(chunked.select(*results))
     return _present(settled)
 
 
@@ -129,13 +133,14 @@ def _with_facts(
     rows: DataFrame,
     accounts: DataFrame,
     freezes: DataFrame | None,
-    hot: DataFrame,
+    hot: DataFrame | None,
     scale: ScaleParams,
 ) -> DataFrame:
     """Add chunk, opening balance and whether the account is frozen at that moment.
 
-    Facts are first spread to (account, chunk) pairs, a small table, so that
-    the rows themselves are joined chunk by chunk and shuffled only once.
+    With hot accounts, facts are first spread to (account, chunk) pairs, a
+    small table, so that the rows themselves are joined chunk by chunk, on the
+    same shuffle that later orders them. ``live`` rows may change a balance.
     """
     facts = accounts.select(
         "account_id",
@@ -146,29 +151,38 @@ def _with_facts(
         facts = facts.join(freezes.select("account_id", "freeze_arrival"), "account_id", "left")
     else:
         facts = facts.withColumn("freeze_arrival", F.lit(None).cast("long"))
-    marked = mark_chunks(rows, ["account_id"], "arrival", scale, hot)
-    groups = marked.select(*_GROUP).distinct().join(facts, "account_id")
+    if hot is None:
+        joined = rows.join(facts, "account_id", "left").withColumn(
+            CHUNK, F.lit(COLD).cast("long")
+        )
+    else:
+        marked = mark_chunks(rows, ["account_id"], "arrival", scale, hot)
+        groups = marked.select(*_GROUP).distinct().join(facts, "account_id")
+        joined = marked.join(groups, _GROUP, "left")
     frozen = F.col("frozen_at_start") | F.coalesce(
         F.col("arrival") > F.col("freeze_arrival"), F.lit(False)
     )
     return (
-        marked.join(groups, _GROUP, "left")
-        .withColumn("debit", F.col("type") != "DEPOSIT")
+        joined.withColumn("debit", F.col("type") != "DEPOSIT")
         .withColumn("blocked", F.coalesce(frozen & F.col("debit"), F.lit(False)))
+        .withColumn("live", ~F.col("in_ledger") & F.col("opening_cents").isNotNull())
         .drop("frozen_at_start", "freeze_arrival")
     )
 
 
-def _all_apply(live: DataFrame) -> DataFrame:
-    """Running sums as if no debit ran short, and the lowest balance a debit leaves."""
+def _all_apply(rows: DataFrame) -> DataFrame:
+    """Running sums as if no debit ran short, and the lowest balance a debit leaves.
+
+    Rows that are not live move nothing.
+    """
     same_id = Window.partitionBy(*_GROUP, "transaction_id")
     in_order = Window.partitionBy(*_GROUP).orderBy("arrival")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    first = F.min(F.when(~F.col("blocked"), F.col("arrival"))).over(same_id)
-    counts = ~F.col("blocked") & (F.col("arrival") == F.col("first_open"))
+    open_now = F.col("live") & ~F.col("blocked")
+    counts = open_now & (F.col("arrival") == F.col("first_open"))
     signed = F.when(F.col("debit"), -F.col("cents")).otherwise(F.col("cents"))
     return (
-        live.withColumn("first_open", first)
+        rows.withColumn("first_open", F.min(F.when(open_now, F.col("arrival"))).over(same_id))
         .withColumn("repeated", F.count(F.lit(1)).over(same_id) > 1)
         .withColumn("is_copy", F.coalesce(F.col("arrival") > F.col("first_open"), F.lit(False)))
         .withColumn("counts", F.coalesce(counts, F.lit(False)))
@@ -185,9 +199,7 @@ def _all_apply(live: DataFrame) -> DataFrame:
 def _fold(rows: DataFrame) -> DataFrame:
     """Run the state machine over each (account, chunk) in arrival order."""
     inputs = rows.select(
-        *[name.strip() for name in _CARRIED.split(",")],
-        CHUNK,
-        "spans",
+        *_PASSED,
         "debit",
         "blocked",
         "repeated",
@@ -201,7 +213,6 @@ def _fold(rows: DataFrame) -> DataFrame:
 def _fold_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Walk sorted rows batch by batch, carrying one group's state across batches."""
     group, balance, applied_ids = None, 0, set()
-    kept = [part.split()[0] for part in _FOLD_OUTPUT.split(", ")][:-2]
     for batch in batches:
         outcomes, balances = [], []
         for account, chunk, ident, cents, debit, blocked, repeated, before, entry in zip(
@@ -231,7 +242,7 @@ def _fold_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     applied_ids.add(ident)
             outcomes.append(outcome)
             balances.append(balance)
-        yield batch[kept].assign(outcome=outcomes, balance_cents=balances)
+        yield batch[_PASSED].assign(outcome=outcomes, balance_cents=balances)
 
 
 def _settle_chunks(live: DataFrame) -> DataFrame:

@@ -15,18 +15,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyguard.params import ScaleParams
+from tallyguard.session import checkpoint_root
 
 CHUNK = "_chunk"
 COLD = -1
+FIND = "find"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], scale: ScaleParams) -> DataFrame:
-    """Keys too large for one task; at most ``scale.max_hot_keys`` rows by its threshold."""
+def find_hot(df: DataFrame, keys: Sequence[str], scale: ScaleParams) -> DataFrame | None:
+    """Keys too large for one task, or None if there are none.
+
+    One counting job over the key columns decides it. The list has at most
+    ``scale.max_hot_keys`` rows by its threshold, so it is safe to broadcast. It
+    only steers the work: results are the same whichever keys it names.
+    """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    large = counts.where(F.col("_n") > scale.chunk_rows)
+    if large.isEmpty():
+        return None
+    checkpoint_root(df.sparkSession)
     total = counts.select(F.sum("_n")).scalar()
-    return counts.where(
-        (F.col("_n") > scale.chunk_rows) & (F.col("_n") * scale.max_hot_keys > total)
-    ).select(*keys)
+    hot = large.where(F.col("_n") * scale.max_hot_keys > total).select(*keys).checkpoint()
+    return None if hot.isEmpty() else hot
+
+
+def resolve_hot(
+    df: DataFrame, keys: Sequence[str], scale: ScaleParams, hot: DataFrame | str | None
+) -> DataFrame | None:
+    return find_hot(df, keys, scale) if isinstance(hot, str) else hot
 
 
 def chunk_number(order: str, scale: ScaleParams) -> Column:
@@ -35,14 +51,11 @@ def chunk_number(order: str, scale: ScaleParams) -> Column:
 
 
 def mark_chunks(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    scale: ScaleParams,
-    hot: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], order: str, scale: ScaleParams, hot: DataFrame | None
 ) -> DataFrame:
     """Add the chunk number: ``COLD`` for whole keys, else the run of arrival numbers."""
-    hot = hot_keys(df, keys, scale) if hot is None else hot
+    if hot is None:
+        return df.withColumn(CHUNK, F.lit(COLD).cast("long"))
     flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), list(keys), "left")
     number = F.when(F.col("_hot"), chunk_number(order, scale)).otherwise(F.lit(COLD))
     return flagged.withColumn(CHUNK, number.cast("long")).drop("_hot")
@@ -57,22 +70,21 @@ def running(
     maxima: Mapping[str, Column] | None = None,
     last: Mapping[str, Column] | None = None,
     include_current: bool = False,
+    hot: DataFrame | str | None = FIND,
     scale: ScaleParams | None = None,
 ) -> DataFrame:
     """Add running values over all earlier rows of the same key.
 
     ``sums`` and ``maxima`` may include the current row; ``last`` is always the
-    value of the row just before. Sums start at 0, the others at null.
+    value of the row just before. Sums start at 0, the others at null. Hot keys
+    are found unless ``hot`` gives what ``find_hot`` found in these or more rows.
     """
     scale = scale or ScaleParams()
+    hot = resolve_hot(df, keys, scale, hot)
     sums, maxima, last = sums or {}, maxima or {}, last or {}
-    hot = hot_keys(df, keys, scale)
+    names = [*sums, *maxima, *last]
     marked = mark_chunks(df, keys, order, scale, hot)
-    chunk_keys = [*keys, CHUNK]
-    hot_rows = df.join(F.broadcast(hot), list(keys)).withColumn(CHUNK, chunk_number(order, scale))
-    before = _before_chunk(hot_rows, keys, order, sums, maxima, last)
-
-    ordered = Window.partitionBy(*chunk_keys).orderBy(order)
+    ordered = Window.partitionBy(*keys, CHUNK).orderBy(order)
     span = ordered.rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
     inside = marked.select(
         "*",
@@ -80,18 +92,23 @@ def running(
         *[F.max(value).over(span).alias(f"_in_{name}") for name, value in maxima.items()],
         *[F.lag(value).over(ordered).alias(f"_in_{name}") for name, value in last.items()],
     )
-    joined = inside.join(before, chunk_keys, "left")
-
-    def both(name: str) -> tuple[Column, Column]:
-        return F.col(f"_in_{name}"), F.col(f"_before_{name}")
-
+    inner = {name: F.col(f"_in_{name}") for name in names}
     zero = F.lit(0)
-    results = {
-        **{n: F.coalesce(both(n)[0], zero) + F.coalesce(both(n)[1], zero) for n in sums},
-        **{n: F.greatest(*both(n)) for n in maxima},
-        **{n: F.coalesce(*both(n)) for n in last},
-    }
-    return joined.select(*df.columns, *[value.alias(name) for name, value in results.items()])
+    if hot is None:
+        results = {n: F.coalesce(inner[n], zero) if n in sums else inner[n] for n in names}
+    else:
+        hot_rows = df.join(F.broadcast(hot), list(keys)).withColumn(
+            CHUNK, chunk_number(order, scale)
+        )
+        before = _before_chunk(hot_rows, keys, order, sums, maxima, last)
+        inside = inside.join(before, [*keys, CHUNK], "left")
+        outer = {name: F.col(f"_before_{name}") for name in names}
+        results = {
+            **{n: F.coalesce(inner[n], zero) + F.coalesce(outer[n], zero) for n in sums},
+            **{n: F.greatest(inner[n], outer[n]) for n in maxima},
+            **{n: F.coalesce(inner[n], outer[n]) for n in last},
+        }
+    return inside.select(*df.columns, *[value.alias(name) for name, value in results.items()])
 
 
 def _before_chunk(

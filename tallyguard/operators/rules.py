@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyguard.functions.geo import city_table, haversine_km, round_half_up
 from tallyguard.functions.money import from_cents, mean_half_up, to_cents
-from tallyguard.operators.ordered import running
+from tallyguard.operators.ordered import FIND, find_hot, resolve_hot, running
 from tallyguard.params import RuleParams, ScaleParams
 
 ALERT_COLUMNS = [
@@ -64,6 +64,7 @@ def with_stream_time(
     itself included. A record is late once its window's end plus the grace
     period is not after that time.
     """
+    scale = scale or ScaleParams()
     keyed = with_window_start(txns.where(F.col("account_id").isNotNull()), params)
     timed = running(
         keyed,
@@ -71,6 +72,7 @@ def with_stream_time(
         "arrival",
         maxima={"stream_ms": F.unix_millis("record_ts")},
         include_current=True,
+        hot=find_hot(keyed, ["partition"], scale),
         scale=scale,
     )
     closes = F.col("window_start_ms") + (params.window_seconds + params.grace_seconds) * 1000
@@ -113,16 +115,16 @@ def high_velocity(
     with_grace: bool = True,
 ) -> DataFrame:
     """An alert for every record that lifts its window above the threshold."""
-    if with_grace:
-        kept = on_time_records(txns, params, scale)
-    else:
-        kept = with_window_start(txns.where(F.col("account_id").isNotNull()), params)
+    scale = scale or ScaleParams()
+    keys = ["account_id", "window_start_ms"]
+    windowed = with_window_start(txns.where(F.col("account_id").isNotNull()), params)
     counted = running(
-        kept,
-        ["account_id", "window_start_ms"],
+        on_time_records(txns, params, scale) if with_grace else windowed,
+        keys,
         "arrival",
         sums={"n": F.lit(1)},
         include_current=True,
+        hot=find_hot(windowed, keys, scale),
         scale=scale,
     ).where(F.col("n") > params.count_threshold)
     reason = F.concat(
@@ -151,7 +153,9 @@ def large_amount(txns: DataFrame, params: RuleParams) -> DataFrame:
 # --- SPEND_SPIKE -------------------------------------------------------------
 
 
-def rolling_stats(txns: DataFrame, scale: ScaleParams | None = None) -> DataFrame:
+def rolling_stats(
+    txns: DataFrame, scale: ScaleParams | None = None, hot: DataFrame | str | None = FIND
+) -> DataFrame:
     """Each transaction with the count and mean (cents) of its account's earlier ones."""
     usable = txns.where(F.col("account_id").isNotNull() & F.col("amount").isNotNull())
     cents = to_cents(F.col("amount")).cast("decimal(20,0)")
@@ -160,6 +164,7 @@ def rolling_stats(txns: DataFrame, scale: ScaleParams | None = None) -> DataFram
         ["account_id"],
         "arrival",
         sums={"prior_cents": cents, "prior_count": F.lit(1)},
+        hot=hot,
         scale=scale,
     )
     mean = mean_half_up(F.col("prior_cents"), F.col("prior_count"))
@@ -167,7 +172,10 @@ def rolling_stats(txns: DataFrame, scale: ScaleParams | None = None) -> DataFram
 
 
 def spend_spike(
-    txns: DataFrame, params: RuleParams, scale: ScaleParams | None = None
+    txns: DataFrame,
+    params: RuleParams,
+    scale: ScaleParams | None = None,
+    hot: DataFrame | str | None = FIND,
 ) -> DataFrame:
     """An alert when an amount exceeds a multiple of the account's earlier mean.
 
@@ -176,7 +184,7 @@ def spend_spike(
     # The mean's exact decimal product with the multiplier avoids double rounding errors.
     multiplier = F.lit(str(params.spike_multiplier)).cast("decimal(18,6)")
     mean = F.col("prior_mean_cents").cast("decimal(20,0)")
-    spikes = rolling_stats(txns, scale).where(
+    spikes = rolling_stats(txns, scale, hot).where(
         (F.col("prior_count") >= params.spike_min_history)
         & (F.col("amount") * 100 > mean * multiplier)
     )
@@ -193,7 +201,10 @@ def spend_spike(
 
 
 def geo_impossible(
-    txns: DataFrame, params: RuleParams, scale: ScaleParams | None = None
+    txns: DataFrame,
+    params: RuleParams,
+    scale: ScaleParams | None = None,
+    hot: DataFrame | str | None = FIND,
 ) -> DataFrame:
     """An alert when two transactions in a row need travel faster than the limit.
 
@@ -211,6 +222,7 @@ def geo_impossible(
             ["account_id"],
             "arrival",
             last={"previous": F.struct("city", F.unix_millis("event_ts").alias("ms"))},
+            hot=hot,
             scale=scale,
         )
         .withColumn("from_key", F.lower("previous.city"))
@@ -250,14 +262,19 @@ def geo_impossible(
 
 
 def all_alerts(
-    txns: DataFrame, params: RuleParams, scale: ScaleParams | None = None
+    txns: DataFrame,
+    params: RuleParams,
+    scale: ScaleParams | None = None,
+    hot: DataFrame | str | None = FIND,
 ) -> DataFrame:
     """Every alert of every rule; one transaction may raise several."""
+    keyed = txns.where(F.col("account_id").isNotNull())
+    hot = resolve_hot(keyed, ["account_id"], scale or ScaleParams(), hot)
     return (
         high_velocity(txns, params, scale)
         .unionByName(large_amount(txns, params))
-        .unionByName(spend_spike(txns, params, scale))
-        .unionByName(geo_impossible(txns, params, scale))
+        .unionByName(spend_spike(txns, params, scale, hot))
+        .unionByName(geo_impossible(txns, params, scale, hot))
     )
 
 

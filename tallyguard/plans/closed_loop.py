@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from tallyguard.operators.balance import account_balances, apply_transactions
 from tallyguard.operators.dead_letters import replay_arrivals, transaction_dead_letters
 from tallyguard.operators.ledger import freezes_from_alerts, ledger_rows
+from tallyguard.operators.ordered import find_hot
 from tallyguard.operators.rules import all_alerts
 from tallyguard.params import RuleParams, ScaleParams
+from tallyguard.session import checkpoint_root
 
 
 @dataclass(frozen=True)
@@ -30,10 +32,17 @@ def closed_loop(
     params: RuleParams,
     scale: ScaleParams | None = None,
 ) -> LoopResult:
-    """Alerts depend on the raw records alone, so the loop is one acyclic plan."""
-    alerts = all_alerts(txns, params, scale)
-    freezes = freezes_from_alerts(alerts, accounts)
-    outcomes = apply_transactions(txns, accounts, ledger, freezes, scale)
+    """Alerts depend on the raw records alone, so the loop has no cycle to iterate.
+
+    The freezes, one row per account at most, are written to the checkpoint
+    folder: the rules then run once, however often balances read the freezes.
+    """
+    checkpoint_root(txns.sparkSession)
+    keyed = txns.where(F.col("account_id").isNotNull())
+    hot = find_hot(keyed, ["account_id"], scale or ScaleParams())
+    alerts = all_alerts(txns, params, scale, hot)
+    freezes = freezes_from_alerts(alerts, accounts).checkpoint()
+    outcomes = apply_transactions(txns, accounts, ledger, freezes, scale, hot)
     return LoopResult(alerts, freezes, outcomes, account_balances(accounts, outcomes, freezes))
 
 
@@ -47,10 +56,12 @@ def replay_rejects(
 ) -> DataFrame:
     """Outcomes of the dead letters when they arrive once more after the run.
 
-    The second run starts from the first one's balances and ledger. Accounts
-    frozen in between stay frozen.
+    The second run starts from the first one's balances and ledger, so the
+    first outcomes are written to the checkpoint folder and read three times.
+    Accounts frozen in between stay frozen.
     """
-    first = apply_transactions(txns, accounts, ledger, freezes, scale)
+    checkpoint_root(txns.sparkSession)
+    first = apply_transactions(txns, accounts, ledger, freezes, scale).checkpoint()
     known = ledger.select("transaction_id").unionByName(
         ledger_rows(first).select("transaction_id")
     )

@@ -25,33 +25,31 @@ def _millisecond_ts(value: Column) -> Column:
     return F.date_trunc("MILLISECOND", value.cast("timestamp"))
 
 
-def _event_city() -> Column:
-    names = [city for city, _, _ in CITIES] + UNKNOWN_CITIES
-    slot = (F.col("event_id") * 5 + F.col("user_id")) % 23
-    known = F.array(*[F.lit(name) for name in names])
-    city = F.when(slot < len(names), F.element_at(known, (slot + 1).cast("int")))
-    return F.when(F.col("event_id") % 7 == 0, F.upper(city)).otherwise(city)
+_NAMES = ", ".join(f"'{name}'" for name in [city for city, _, _ in CITIES] + UNKNOWN_CITIES)
+EVENT_CITY = f"""
+CASE WHEN event_id % 7 = 0
+     THEN upper(try_element_at(array({_NAMES}), int((event_id * 5 + user_id) % 23) + 1))
+     ELSE try_element_at(array({_NAMES}), int((event_id * 5 + user_id) % 23) + 1) END
+"""
+EVENT_TYPE = """
+CASE WHEN event_type IN ('signup', 'view') THEN 'DEPOSIT'
+     WHEN event_type = 'error' THEN 'TRANSFER' ELSE 'WITHDRAW' END
+"""
 
 
 def event_transactions(events: DataFrame) -> DataFrame:
     """Events as transactions: event id is the arrival, every tenth is two hours late."""
-    kind = (
-        F.when(F.col("event_type").isin("signup", "view"), "DEPOSIT")
-        .when(F.col("event_type") == "error", "TRANSFER")
-        .otherwise("WITHDRAW")
-    )
-    ts = F.col("ts").cast("timestamp")
-    late = F.when(F.col("event_id") % 10 == 3, ts - F.expr("INTERVAL 2 HOURS")).otherwise(ts)
-    return events.select(
-        F.col("event_id").cast("string").alias("transaction_id"),
-        F.col("user_id").cast("string").alias("account_id"),
-        kind.alias("type"),
-        F.col("value").cast(MONEY).alias("amount"),
-        _event_city().alias("city"),
-        _millisecond_ts(ts).alias("event_ts"),
-        _millisecond_ts(late).alias("record_ts"),
-        (F.col("event_id") * 2).alias("arrival"),
-        (F.col("user_id") % 3).cast("int").alias("partition"),
+    late = "CASE WHEN event_id % 10 = 3 THEN ts - INTERVAL 2 HOURS ELSE ts END"
+    return events.selectExpr(
+        "string(event_id) AS transaction_id",
+        "string(user_id) AS account_id",
+        f"{EVENT_TYPE} AS type",
+        "CAST(value AS DECIMAL(18,2)) AS amount",
+        f"{EVENT_CITY} AS city",
+        "date_trunc('MILLISECOND', timestamp(ts)) AS event_ts",
+        f"date_trunc('MILLISECOND', timestamp({late})) AS record_ts",
+        "event_id * 2 AS arrival",
+        "int(user_id % 3) AS partition",
     )
 
 
@@ -139,7 +137,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         account.alias("account_id"),
         kind.alias("type"),
         amount.alias("amount"),
-        _event_city().alias("city"),
+        F.expr(EVENT_CITY).alias("city"),
         _millisecond_ts(F.col("ts")).alias("received_at"),
     )
 
