@@ -57,6 +57,12 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_transactions(table(spark, sf_dir, "events"))
 
 
+def transaction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same transactions as a stream over the files of the events table."""
+    schema = table(spark, sf_dir, "events").schema
+    return event_transactions(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet"))
+
+
 def with_replays(txns: DataFrame) -> DataFrame:
     """Every fiftieth transaction arrives again 500 events later, under the same id."""
     again = txns.where(F.col("transaction_id").cast("long") % 50 == 0)

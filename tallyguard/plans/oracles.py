@@ -483,6 +483,13 @@ ORACLES: dict[str, str] = {
                coalesce(n, 0) AS n_applied
         FROM acc a LEFT JOIN freezes f ON f.account_id = a.account_id
           LEFT JOIN {_MOVED} m ON m.account_id = a.account_id""",
+    "stream_large_amount": _with(TXN) + _large("txn", 200),
+    "stream_velocity": _with(TXN, _timed_ctes("txn")) + _velocity("on_time"),
+    "stream_account_alerts": _with(TXN, _spike_ctes("txn"), _geo_ctes("txn"))
+    + f"{_large('txn', 200)} UNION ALL {_spike(50, '5.0')} UNION ALL {_GEO}",
+    "stream_balances": _with(TXN, ACCOUNTS, LEDGER, _NO_FREEZES, _walk("txn"), recursive=True)
+    + _OUTCOME_COLUMNS
+    + " FROM outcomes",
     "products_by_category": """
         SELECT p_partkey AS id, p_name AS name, p_type AS category,
                CAST(round(p_retailprice * 100) AS BIGINT) AS cents

@@ -16,6 +16,10 @@ from tallyguard.operators import requests as reqs
 from tallyguard.params import RuleParams
 from tallyguard.plans import closed_loop, derived
 from tallyguard.sources.payloads import unwrap_rows
+from tallyguard.streaming.account_rules import account_alerts
+from tallyguard.streaming.balances import stream_outcomes
+from tallyguard.streaming.run import drain
+from tallyguard.streaming.velocity import exact_velocity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -382,6 +386,37 @@ def flagship_balances(spark, sf_dir):
     ).balances.select("account_id", _cents("balance"), "status", "n_applied")
 
 
+# --- the same on streams -----------------------------------------------------
+
+
+@query
+def stream_large_amount(spark, sf_dir):
+    """The very rule of the batch, on a stream."""
+    stream = derived.transaction_stream(spark, sf_dir)
+    return _alerts(drain(rules.large_amount(stream, EVENT_RULES), "stream-large"))
+
+
+@query
+def stream_velocity(spark, sf_dir):
+    stream = derived.transaction_stream(spark, sf_dir)
+    return _alerts(drain(exact_velocity(stream, EVENT_RULES), "stream-velocity"))
+
+
+@query
+def stream_account_alerts(spark, sf_dir):
+    stream = derived.transaction_stream(spark, sf_dir)
+    return _alerts(drain(account_alerts(stream, EVENT_RULES), "stream-alerts"))
+
+
+@query
+def stream_balances(spark, sf_dir):
+    stream = derived.transaction_stream(spark, sf_dir)
+    outcomes = stream_outcomes(
+        stream, derived.accounts(spark, sf_dir), derived.ledger(spark, sf_dir)
+    )
+    return _outcomes(drain(outcomes, "stream-balances"))
+
+
 # --- products ----------------------------------------------------------------
 
 
