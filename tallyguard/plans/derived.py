@@ -58,9 +58,12 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transaction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same transactions as a stream over the files of the events table."""
+    """The same transactions as a stream over the file or files of the events table.
+
+    A file source takes a single file only by pattern, hence the brackets.
+    """
     schema = table(spark, sf_dir, "events").schema
-    return event_transactions(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet"))
+    return event_transactions(spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet"))
 
 
 def with_replays(txns: DataFrame) -> DataFrame:
