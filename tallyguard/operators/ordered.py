@@ -75,9 +75,9 @@ def running(
 ) -> DataFrame:
     """Add running values over all earlier rows of the same key.
 
-    ``sums`` and ``maxima`` may include the current row; ``last`` is always the
-    value of the row just before. Sums start at 0, the others at null. Hot keys
-    are found unless ``hot`` gives what ``find_hot`` found in these or more rows.
+    ``sums`` and ``maxima`` may include the current row; ``last`` is the newest
+    non-null value of the rows before it. Sums start at 0, the others at null.
+    Nulls are passed over. Hot keys are found unless ``hot`` gives what ``find_hot`` found in these or more rows.
     """
     scale = scale or ScaleParams()
     hot = resolve_hot(df, keys, scale, hot)
@@ -85,12 +85,13 @@ def running(
     names = [*sums, *maxima, *last]
     marked = mark_chunks(df, keys, order, scale, hot)
     ordered = Window.partitionBy(*keys, CHUNK).orderBy(order)
-    span = ordered.rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    span = ordered.rowsBetween(Window.unboundedPreceding, 0) if include_current else earlier
     inside = marked.select(
         "*",
         *[F.sum(value).over(span).alias(f"_in_{name}") for name, value in sums.items()],
         *[F.max(value).over(span).alias(f"_in_{name}") for name, value in maxima.items()],
-        *[F.lag(value).over(ordered).alias(f"_in_{name}") for name, value in last.items()],
+        *[F.last(value, True).over(earlier).alias(f"_in_{name}") for name, value in last.items()],
     )
     inner = {name: F.col(f"_in_{name}") for name in names}
     zero = F.lit(0)
@@ -123,7 +124,10 @@ def _before_chunk(
     per_chunk = hot_rows.groupBy(*keys, CHUNK).agg(
         *[F.sum(value).alias(name) for name, value in sums.items()],
         *[F.max(value).alias(name) for name, value in maxima.items()],
-        *[F.max_by(value, F.col(order)).alias(name) for name, value in last.items()],
+        *[
+            F.max_by(value, F.when(value.isNotNull(), F.col(order))).alias(name)
+            for name, value in last.items()
+        ],
     )
     chunks = Window.partitionBy(*keys).orderBy(CHUNK)
     earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
@@ -132,5 +136,5 @@ def _before_chunk(
         CHUNK,
         *[F.sum(name).over(earlier).alias(f"_before_{name}") for name in sums],
         *[F.max(name).over(earlier).alias(f"_before_{name}") for name in maxima],
-        *[F.lag(name).over(chunks).alias(f"_before_{name}") for name in last],
+        *[F.last(name, True).over(earlier).alias(f"_before_{name}") for name in last],
     )

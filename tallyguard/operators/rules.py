@@ -6,12 +6,12 @@ lookup. Alerts carry the arrival and event time of the record that raised them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyguard.functions.geo import city_table, haversine_km, round_half_up
 from tallyguard.functions.money import from_cents, mean_half_up, to_cents
-from tallyguard.operators.ordered import FIND, find_hot, resolve_hot, running
+from tallyguard.operators.ordered import FIND, find_hot, running
 from tallyguard.params import RuleParams, ScaleParams
 
 ALERT_COLUMNS = [
@@ -27,7 +27,7 @@ ALERT_COLUMNS = [
 
 def _alert(
     df: DataFrame,
-    rule: str,
+    rule: str | Column,
     reason: Column,
     count: Column | None = None,
     transaction_id: Column | None = None,
@@ -37,7 +37,7 @@ def _alert(
         (F.col("transaction_id") if transaction_id is None else transaction_id).alias(
             "transaction_id"
         ),
-        F.lit(rule).alias("rule_type"),
+        (F.lit(rule) if isinstance(rule, str) else rule).alias("rule_type"),
         reason.alias("reason"),
         (F.lit(1) if count is None else count).cast("long").alias("count"),
         F.col("arrival").alias("trigger_arrival"),
@@ -140,35 +140,67 @@ def high_velocity(
 # --- LARGE_AMOUNT ------------------------------------------------------------
 
 
-def large_amount(txns: DataFrame, params: RuleParams) -> DataFrame:
-    """An alert for every single amount above the threshold; also runs on streams."""
-    reason = F.concat(
+def _is_large(params: RuleParams) -> Column:
+    return F.col("amount") > F.lit(params.large_amount)
+
+
+def _large_reason(params: RuleParams) -> Column:
+    return F.concat(
         F.lit("Large transaction: "),
         F.col("amount").cast("string"),
         F.lit(f" exceeds {params.large_amount}"),
     )
-    return _alert(txns.where(F.col("amount") > F.lit(params.large_amount)), "LARGE_AMOUNT", reason)
+
+
+def large_amount(txns: DataFrame, params: RuleParams) -> DataFrame:
+    """An alert for every single amount above the threshold; also runs on streams."""
+    return _alert(txns.where(_is_large(params)), "LARGE_AMOUNT", _large_reason(params))
 
 
 # --- SPEND_SPIKE -------------------------------------------------------------
 
 
+def _history_sums() -> dict[str, Column]:
+    """What the running history adds up; transactions without amount do not count."""
+    cents = to_cents(F.col("amount")).cast("decimal(20,0)")
+    return {
+        "prior_cents": cents,
+        "prior_count": F.when(F.col("amount").isNotNull(), 1).otherwise(0).cast("long"),
+    }
+
+
+def _with_mean(history: DataFrame) -> DataFrame:
+    mean = mean_half_up(F.col("prior_cents"), F.col("prior_count"))
+    return history.withColumn("prior_mean_cents", F.coalesce(mean, F.lit(0).cast("long")))
+
+
+def _is_spike(params: RuleParams) -> Column:
+    # An exact decimal product: a double would misjudge amounts right at the limit.
+    multiplier = F.lit(str(params.spike_multiplier)).cast("decimal(18,6)")
+    mean = F.col("prior_mean_cents").cast("decimal(20,0)")
+    return (F.col("prior_count") >= params.spike_min_history) & (
+        F.col("amount") * 100 > mean * multiplier
+    )
+
+
+def _spike_reason(params: RuleParams) -> Column:
+    return F.concat(
+        F.lit("Spike: "),
+        F.col("amount").cast("string"),
+        F.lit(f" > {params.spike_multiplier}x rolling avg "),
+        from_cents(F.col("prior_mean_cents")).cast("string"),
+    )
+
+
 def rolling_stats(
     txns: DataFrame, scale: ScaleParams | None = None, hot: DataFrame | str | None = FIND
 ) -> DataFrame:
     """Each transaction with the count and mean (cents) of its account's earlier ones."""
     usable = txns.where(F.col("account_id").isNotNull() & F.col("amount").isNotNull())
-    cents = to_cents(F.col("amount")).cast("decimal(20,0)")
-    stats = running(
-        usable,
-        ["account_id"],
-        "arrival",
-        sums={"prior_cents": cents, "prior_count": F.lit(1)},
-        hot=hot,
-        scale=scale,
+    history = running(
+        usable, ["account_id"], "arrival", sums=_history_sums(), hot=hot, scale=scale
     )
-    mean = mean_half_up(F.col("prior_cents"), F.col("prior_count"))
-    return stats.withColumn("prior_mean_cents", F.coalesce(mean, F.lit(0).cast("long")))
+    return _with_mean(history)
 
 
 def spend_spike(
@@ -181,23 +213,52 @@ def spend_spike(
 
     The transaction joins the history afterwards, whether it alerted or not.
     """
-    # The mean's exact decimal product with the multiplier avoids double rounding errors.
-    multiplier = F.lit(str(params.spike_multiplier)).cast("decimal(18,6)")
-    mean = F.col("prior_mean_cents").cast("decimal(20,0)")
-    spikes = rolling_stats(txns, scale, hot).where(
-        (F.col("prior_count") >= params.spike_min_history)
-        & (F.col("amount") * 100 > mean * multiplier)
+    spikes = rolling_stats(txns, scale, hot).where(_is_spike(params))
+    return _alert(spikes, "SPEND_SPIKE", _spike_reason(params))
+
+
+# --- GEO_IMPOSSIBLE ----------------------------------------------------------
+
+
+def _last_place() -> dict[str, Column]:
+    """The newest place of earlier records; those without city or time are passed over."""
+    place = F.struct("city", F.unix_millis("event_ts").alias("ms"))
+    return {"previous": F.when(F.col("city").isNotNull() & F.col("event_ts").isNotNull(), place)}
+
+
+def _with_trip(located: DataFrame) -> DataFrame:
+    """Add distance and speed from the previous place; null if a city is unknown.
+
+    The 19 known cities are broadcast.
+    """
+    cities = city_table(located.sparkSession)
+    origin = F.broadcast(cities.toDF("_from", "_from_lat", "_from_lon"))
+    target = F.broadcast(cities.toDF("_to", "_to_lat", "_to_lon"))
+    elapsed = F.greatest(F.unix_millis("event_ts") - F.col("previous.ms"), F.lit(1))
+    distance = haversine_km(
+        F.col("_from_lat"), F.col("_from_lon"), F.col("_to_lat"), F.col("_to_lon")
     )
-    reason = F.concat(
-        F.lit("Spike: "),
-        F.col("amount").cast("string"),
-        F.lit(f" > {params.spike_multiplier}x rolling avg "),
-        from_cents(F.col("prior_mean_cents")).cast("string"),
+    return (
+        located.join(origin, F.lower("previous.city") == F.col("_from"), "left")
+        .join(target, F.lower("city") == F.col("_to"), "left")
+        .withColumn("km", F.when(F.col("_from") != F.col("_to"), distance))
+        .withColumn("kmh", F.col("km") / (elapsed / F.lit(3_600_000.0)))
+        .drop("_from", "_from_lat", "_from_lon", "_to", "_to_lat", "_to_lon")
     )
-    return _alert(spikes, "SPEND_SPIKE", reason)
 
 
-# --- GEO_IMPOSSIBLE ----------------------------------------------------------
+def _travel_reason() -> Column:
+    return F.concat(
+        F.lit("Impossible travel: "),
+        F.col("previous.city"),
+        F.lit(" -> "),
+        F.col("city"),
+        F.lit(" ("),
+        round_half_up(F.col("km")).cast("string"),
+        F.lit(" km) would require "),
+        round_half_up(F.col("kmh")).cast("string"),
+        F.lit(" km/h"),
+    )
 
 
 def geo_impossible(
@@ -216,65 +277,67 @@ def geo_impossible(
         & F.col("city").isNotNull()
         & F.col("event_ts").isNotNull()
     )
-    pairs = (
-        running(
-            located,
-            ["account_id"],
-            "arrival",
-            last={"previous": F.struct("city", F.unix_millis("event_ts").alias("ms"))},
-            hot=hot,
-            scale=scale,
-        )
-        .withColumn("from_key", F.lower("previous.city"))
-        .withColumn("to_key", F.lower("city"))
-        .where(F.col("from_key") != F.col("to_key"))
-    )
-    cities = city_table(txns.sparkSession)
-    origin = cities.toDF("from_key", "from_lat", "from_lon")
-    target = cities.toDF("to_key", "to_lat", "to_lon")
-    trips = pairs.join(F.broadcast(origin), "from_key").join(F.broadcast(target), "to_key")
-    elapsed = F.greatest(F.unix_millis("event_ts") - F.col("previous.ms"), F.lit(1))
-    fast = (
-        trips.withColumn(
-            "km",
-            haversine_km(
-                F.col("from_lat"), F.col("from_lon"), F.col("to_lat"), F.col("to_lon")
-            ),
-        )
-        .withColumn("kmh", F.col("km") / (elapsed / F.lit(3_600_000.0)))
-        .where(F.col("kmh") > params.geo_max_kmh)
+    chained = running(
+        located, ["account_id"], "arrival", last=_last_place(), hot=hot, scale=scale
     )
-    reason = F.concat(
-        F.lit("Impossible travel: "),
-        F.col("previous.city"),
-        F.lit(" -> "),
-        F.col("city"),
-        F.lit(" ("),
-        round_half_up(F.col("km")).cast("string"),
-        F.lit(" km) would require "),
-        round_half_up(F.col("kmh")).cast("string"),
-        F.lit(" km/h"),
-    )
-    return _alert(fast, "GEO_IMPOSSIBLE", reason)
+    moved = chained.where(F.lower("previous.city") != F.lower("city"))
+    fast = _with_trip(moved).where(F.col("kmh") > params.geo_max_kmh)
+    return _alert(fast, "GEO_IMPOSSIBLE", _travel_reason())
 
 
 # --- all rules ---------------------------------------------------------------
 
 
-def all_alerts(
+def account_alerts(
     txns: DataFrame,
     params: RuleParams,
     scale: ScaleParams | None = None,
     hot: DataFrame | str | None = FIND,
 ) -> DataFrame:
-    """Every alert of every rule; one transaction may raise several."""
+    """The amount, spike and travel rules in one pass: one shuffle and sort for all three."""
     keyed = txns.where(F.col("account_id").isNotNull())
-    hot = resolve_hot(keyed, ["account_id"], scale or ScaleParams(), hot)
+    history = running(
+        keyed,
+        ["account_id"],
+        "arrival",
+        sums=_history_sums(),
+        last=_last_place(),
+        hot=hot,
+        scale=scale,
+    )
+    raised = [
+        ("LARGE_AMOUNT", _is_large(params), _large_reason(params)),
+        ("SPEND_SPIKE", _is_spike(params), _spike_reason(params)),
+        ("GEO_IMPOSSIBLE", F.col("kmh") > params.geo_max_kmh, _travel_reason()),
+    ]
+    found = F.array_compact(
+        F.array(
+            *[
+                F.when(fires, F.struct(F.lit(rule).alias("rule"), reason.alias("reason")))
+                for rule, fires, reason in raised
+            ]
+        )
+    )
+    judged = _with_trip(_with_mean(history)).select(
+        "account_id", "transaction_id", "arrival", "event_ts", F.explode(found).alias("alert")
+    )
+    return _alert(judged, F.col("alert.rule"), F.col("alert.reason"))
+
+
+def all_alerts(
+    txns: DataFrame,
+    params: RuleParams,
+    scale: ScaleParams | None = None,
+    hot: DataFrame | str | None = FIND,
+) -> DataFrame:
+    """Every alert of every rule; one transaction may raise several.
+
+    Only the amount rule looks at records without an account.
+    """
     return (
         high_velocity(txns, params, scale)
-        .unionByName(large_amount(txns, params))
-        .unionByName(spend_spike(txns, params, scale, hot))
-        .unionByName(geo_impossible(txns, params, scale, hot))
+        .unionByName(account_alerts(txns, params, scale, hot))
+        .unionByName(large_amount(txns.where(F.col("account_id").isNull()), params))
     )
 
 
@@ -305,27 +368,37 @@ def velocity_hopping(txns: DataFrame, params: RuleParams, slide_seconds: int) ->
     )
 
 
-def velocity_sliding(txns: DataFrame, params: RuleParams) -> DataFrame:
+def velocity_sliding(
+    txns: DataFrame, params: RuleParams, scale: ScaleParams | None = None
+) -> DataFrame:
     """Records that see more than the threshold in the window that ends with them.
 
-    A window reaches back at most one bucket of its own length, so every record
-    is counted in its bucket and the next one. Each (account, bucket) is a
-    window of its own, which spreads a busy account over time.
+    Each record counts from its own time until it leaves the window, so the
+    count at any moment is a running sum of arrivals and departures. Those are
+    added up per account and millisecond first; no window of rows is ever held.
     """
     size = params.window_seconds * 1000
-    millis = F.unix_millis("record_ts")
-    bucket = F.call_function("div", millis, F.lit(size))
-    copies = txns.where(F.col("account_id").isNotNull()).select(
-        "*",
-        millis.alias("_ms"),
-        F.explode(F.array(F.lit(0), F.lit(1))).alias("_step"),
+    timed = txns.where(F.col("account_id").isNotNull()).withColumn(
+        "_ms", F.unix_millis("record_ts")
     )
-    frame = (
-        Window.partitionBy("account_id", "_bucket").orderBy("_ms").rangeBetween(1 - size, 0)
+    steps = F.inline(
+        F.array(
+            F.struct(F.col("_ms").alias("moment"), F.lit(1).cast("long").alias("step")),
+            F.struct((F.col("_ms") + size).alias("moment"), F.lit(-1).cast("long").alias("step")),
+        )
     )
-    return (
-        copies.withColumn("_bucket", bucket + F.col("_step"))
-        .withColumn("count", F.count(F.lit(1)).over(frame))
-        .where((F.col("_step") == 0) & (F.col("count") > params.count_threshold))
-        .drop("_ms", "_step", "_bucket")
+    changes = (
+        timed.select("account_id", steps)
+        .groupBy("account_id", "moment")
+        .agg(F.sum("step").alias("step"))
     )
+    crowded = running(
+        changes,
+        ["account_id"],
+        "moment",
+        sums={"count": F.col("step")},
+        include_current=True,
+        scale=scale,
+    ).where(F.col("count") > params.count_threshold)
+    moments = crowded.select("account_id", F.col("moment").alias("_ms"), "count")
+    return timed.join(moments, ["account_id", "_ms"]).drop("_ms")

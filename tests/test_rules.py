@@ -76,3 +76,13 @@ def test_union_keeps_several_alerts_of_one_transaction(spark, txns):
     )
     kinds = {a.rule_type for a in rules.all_alerts(both, PARAMS).collect()}
     assert kinds == {"LARGE_AMOUNT", "SPEND_SPIKE"}
+
+
+def test_sliding_counts_do_not_depend_on_chunks(txns):
+    def counts(scale=None):
+        found = rules.velocity_sliding(txns, PARAMS, scale).collect()
+        return {(r.account_id, r.arrival, r["count"]) for r in found}
+
+    busy = {(account, n) for account, _, n in counts()}
+    assert ("E3", 8) in busy and ("A2", 6) in busy
+    assert counts() == counts(ScaleParams(chunk_rows=3, max_hot_keys=1000))
