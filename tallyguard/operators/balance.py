@@ -151,14 +151,18 @@ def _with_facts(
         facts = facts.join(freezes.select("account_id", "freeze_arrival"), "account_id", "left")
     else:
         facts = facts.withColumn("freeze_arrival", F.lit(None).cast("long"))
+    # Placed before the join: whichever join follows, and every window after it, keeps
+    # this one placement of the rows.
     if hot is None:
-        joined = rows.join(facts, "account_id", "left").withColumn(
-            CHUNK, F.lit(COLD).cast("long")
+        joined = (
+            rows.repartition("account_id")
+            .join(facts, "account_id", "left")
+            .withColumn(CHUNK, F.lit(COLD).cast("long"))
         )
     else:
         marked = mark_chunks(rows, ["account_id"], "arrival", scale, hot)
         groups = marked.select(*_GROUP).distinct().join(facts, "account_id")
-        joined = marked.join(groups, _GROUP, "left")
+        joined = marked.repartition(*_GROUP).join(groups, _GROUP, "left")
     frozen = F.col("frozen_at_start") | F.coalesce(
         F.col("arrival") > F.col("freeze_arrival"), F.lit(False)
     )

@@ -26,5 +26,6 @@ def unwrap_rows(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """One output row per payload row; ``row_index`` is its place in the payload."""
     others = [name for name in payloads.columns if name != payload]
     rows = payload_rows(F.col(payload))
-    exploded = payloads.select(*others, F.posexplode(rows).alias("row_index", "row"))
+    # The outer form keeps the optimizer from parsing each payload again in a size filter.
+    exploded = payloads.select(*others, F.posexplode_outer(rows).alias("row_index", "row"))
     return exploded.where(F.col("row").isNotNull())
