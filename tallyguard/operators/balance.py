@@ -9,9 +9,10 @@ the result depends on the order. Three paths give the same answer:
 * Accounts that do run short are folded, one sorted pass per account with
   constant memory.
 * Hot accounts are cut into chunks that are folded side by side from an
-  estimated opening balance. Chunks whose estimate was wrong are folded again
-  from the balance the chunk before ended with, until all agree. The first
-  chunk's balance is known, so at least one more chunk is final every round.
+  estimated opening balance. A wrong estimate that changes no decision only
+  shifts the chunk's balances; other chunks are folded again from what the
+  chunk before ended with, until all agree. The first chunk's balance is
+  known, so at least one more chunk is final every round.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ DUPLICATE = "DUPLICATE"
 UNKNOWN = "UNKNOWN_ACCOUNT"
 FROZEN = "ACCOUNT_FROZEN"
 INSUFFICIENT = "INSUFFICIENT_FUNDS"
+UNREADABLE = "DESERIALIZATION"
+REJECTIONS = [UNKNOWN, FROZEN, INSUFFICIENT, UNREADABLE]
 
 _GROUP = ["account_id", CHUNK]
 CARRIED = [
@@ -78,8 +81,7 @@ def apply_transactions(
     decided = ~F.col("live") | by_sums
     fast = running.where(decided).select(
         *CARRIED,
-        F.when(F.col("in_ledger"), DUPLICATE)
-        .when(~F.col("live"), UNKNOWN)
+        F.when(~F.col("live"), _outright())
         .when(F.col("is_copy"), DUPLICATE)
         .when(F.col("blocked"), FROZEN)
         .otherwise(APPLIED)
@@ -101,7 +103,7 @@ def apply_transactions(
         hot_rows = rows.where(F.col(CHUNK) != COLD)
         outright = hot_rows.where(~F.col("live")).select(
             *CARRIED,
-            F.when(F.col("in_ledger"), DUPLICATE).otherwise(UNKNOWN).alias("outcome"),
+            _outright().alias("outcome"),
             F.lit(None).cast("long").alias("balance_cents"),
         )
         chunked = _settle_chunks(hot_rows.where("live"))
@@ -109,6 +111,15 @@ def apply_transactions(
     return _present(settled)
 
 
+def _outright() -> Column:
+    """The outcome of a record that touches no balance, whatever comes before it."""
+    return (
+        F.when(F.col("in_ledger"), DUPLICATE)
+        .when(F.col("opening_cents").isNull(), UNKNOWN)
+        .otherwise(UNREADABLE)
+    )
+
+
 def _narrow(txns: DataFrame) -> DataFrame:
     return txns.select(
         "transaction_id",
@@ -169,7 +180,13 @@ def _with_facts(
     return (
         joined.withColumn("debit", F.col("type") != "DEPOSIT")
         .withColumn("blocked", F.coalesce(frozen & F.col("debit"), F.lit(False)))
-        .withColumn("live", ~F.col("in_ledger") & F.col("opening_cents").isNotNull())
+        .withColumn(
+            "live",
+            ~F.col("in_ledger")
+            & F.col("opening_cents").isNotNull()
+            & F.col("cents").isNotNull()
+            & F.col("type").isNotNull(),
+        )
         .drop("frozen_at_start", "freeze_arrival")
     )
 
@@ -277,6 +294,7 @@ def _settle_chunks(live: DataFrame) -> DataFrame:
     # Opening estimate of a chunk: everything before it applied, never below zero for it.
     in_order = Window.partitionBy("account_id").orderBy(CHUNK)
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    no_cents = F.lit(None).cast("long")
     chunks = (
         rows.groupBy(*_GROUP)
         .agg(
@@ -290,8 +308,11 @@ def _settle_chunks(live: DataFrame) -> DataFrame:
             F.greatest(
                 F.col("opening_cents") + F.col("before"), F.least("opening_cents", F.lit(0))
             ).alias("entry_cents"),
-            F.lit(None).cast("long").alias("exit_cents"),
+            no_cents.alias("exit_cents"),
+            no_cents.alias("lowest"),
+            no_cents.alias("short_by"),
             F.lit(0).alias("round"),
+            no_cents.alias("resolved_cents"),
             F.lit(True).alias("stale"),
         )
         .checkpoint()
@@ -301,8 +322,7 @@ def _settle_chunks(live: DataFrame) -> DataFrame:
     while not chunks.where("stale").isEmpty():
         number += 1
         target = f"{base}/outcomes/round={number}"
-        stale = chunks.where("stale").select(*_GROUP, "entry_cents")
-        due = rows.join(stale, _GROUP)
+        due = rows.join(chunks.where("stale").select(*_GROUP, "entry_cents"), _GROUP)
         if any_copies:
             marks = copies.select(
                 *_GROUP, "transaction_id", "copied_before", F.lit(True).alias("spans")
@@ -317,25 +337,42 @@ def _settle_chunks(live: DataFrame) -> DataFrame:
         ).write.parquet(target)
         folded = spark.read.parquet(target)
 
-        exits = folded.groupBy(*_GROUP).agg(
-            F.max_by("balance_cents", "arrival").alias("new_exit"), F.lit(number).alias("new_round")
+        outcome, balance = F.col("outcome"), F.col("balance_cents")
+        debit = F.col("type") != "DEPOSIT"
+        never = F.lit(_NEVER)
+        measured = folded.groupBy(*_GROUP).agg(
+            F.max_by("balance_cents", "arrival").alias("new_exit"),
+            F.coalesce(F.min(F.when((outcome == APPLIED) & debit, balance)), never).alias(
+                "new_lowest"
+            ),
+            F.coalesce(
+                F.min(F.when(outcome == INSUFFICIENT, F.col("cents") - balance)), never
+            ).alias("new_short_by"),
         )
-        updated = (
-            chunks.join(exits, _GROUP, "left")
-            .withColumn("exit_cents", F.coalesce("new_exit", "exit_cents"))
-            .withColumn("round", F.coalesce("new_round", "round"))
-            .withColumn(
-                "next_entry",
-                F.coalesce(F.lag("exit_cents").over(in_order), F.col("opening_cents")),
+        walked = (
+            chunks.join(measured, _GROUP, "left")
+            .select(
+                *_GROUP,
+                "opening_cents",
+                "entry_cents",
+                F.coalesce("new_exit", "exit_cents").alias("exit_cents"),
+                F.coalesce("new_lowest", "lowest").alias("lowest"),
+                F.coalesce("new_short_by", "short_by").alias("short_by"),
+                F.when(F.col("new_exit").isNotNull(), number)
+                .otherwise(F.col("round"))
+                .alias("round"),
             )
-            .withColumn("stale", F.col("next_entry") != F.col("entry_cents"))
+            .groupBy("account_id")
+            .applyInPandas(_walk_chunks, _CHUNK_COLUMNS)
         )
         if any_copies:
             done = folded.where("spans").groupBy(*_GROUP, "transaction_id").agg(
-                F.max(F.col("outcome") == APPLIED).alias("now_applied")
+                F.max(outcome == APPLIED).alias("now_applied")
             )
+            # What a chunk was folded with: the flags of this round, or those kept from before.
             refreshed = _copied_before(
-                copies.withColumnRenamed("copied_before", "was_before")
+                copies.withColumn("was_before", F.col("copied_before"))
+                .drop("copied_before")
                 .join(done, [*_GROUP, "transaction_id"], "left")
                 .withColumn("applied", F.coalesce("now_applied", "applied"))
                 .drop("now_applied")
@@ -347,20 +384,57 @@ def _settle_chunks(live: DataFrame) -> DataFrame:
                 .withColumn("shifted", F.lit(True))
             )
             copies = refreshed.drop("was_before")
-            updated = updated.join(shifted, _GROUP, "left").withColumn(
-                "stale", F.col("stale") | F.coalesce("shifted", F.lit(False))
+            walked = (
+                walked.join(shifted, _GROUP, "left")
+                .withColumn("stale", F.col("stale") | F.coalesce("shifted", F.lit(False)))
+                .drop("shifted")
             )
-        chunks = updated.select(
-            *_GROUP,
-            "opening_cents",
-            F.col("next_entry").alias("entry_cents"),
-            "exit_cents",
-            "round",
-            "stale",
+        chunks = walked.withColumn(
+            "entry_cents",
+            F.when(F.col("stale"), F.col("resolved_cents")).otherwise(F.col("entry_cents")),
         ).checkpoint()
 
     outcomes = spark.read.parquet(f"{base}/outcomes")
-    return outcomes.join(chunks.select(*_GROUP, "round"), [*_GROUP, "round"])
+    shift = chunks.select(
+        *_GROUP, "round", (F.col("resolved_cents") - F.col("entry_cents")).alias("shift_cents")
+    )
+    return outcomes.join(shift, [*_GROUP, "round"]).withColumn(
+        "balance_cents", F.col("balance_cents") + F.col("shift_cents")
+    )
+
+
+# A margin no balance comes near: stands for "no such decision in this chunk".
+_NEVER = 1 << 62
+_CHUNK_COLUMNS = (
+    f"account_id string, {CHUNK} long, opening_cents long, entry_cents long, exit_cents long, "
+    "lowest long, short_by long, round int, resolved_cents long, stale boolean"
+)
+
+
+def _walk_chunks(chunks: pd.DataFrame) -> pd.DataFrame:
+    """Pass one account's balance through its chunk summaries, one row per chunk.
+
+    A chunk folded from a balance that is off by some amount stays right if no
+    decision changes: the lowest balance an applied debit left is still not
+    negative, and the narrowest refusal is still one. Then its balances only
+    shift. Otherwise it is stale, and its end is a guess until it is folded again.
+    """
+    chunks = chunks.sort_values(CHUNK).reset_index(drop=True)
+    balance = int(chunks["opening_cents"].iloc[0])
+    resolved, stale = [], []
+    for entry, leave, lowest, short_by in zip(
+        chunks["entry_cents"].tolist(),
+        chunks["exit_cents"].tolist(),
+        chunks["lowest"].tolist(),
+        chunks["short_by"].tolist(),
+        strict=True,
+    ):
+        off = balance - entry
+        holds = lowest + off >= 0 and off < short_by
+        resolved.append(balance)
+        stale.append(not holds)
+        balance = leave + off if holds else leave
+    return chunks.assign(resolved_cents=resolved, stale=stale)
 
 
 def _copied_before(copies: DataFrame) -> DataFrame:
@@ -391,12 +465,13 @@ def reject_message(outcome: Column) -> Column:
             ),
         )
         .when(outcome == INSUFFICIENT, F.concat(F.lit("Insufficient funds for "), account))
+        .when(outcome == UNREADABLE, "payload does not match the schema")
     )
 
 
 def _present(settled: DataFrame) -> DataFrame:
     outcome = F.col("outcome")
-    rejected = outcome.isin(UNKNOWN, FROZEN, INSUFFICIENT)
+    rejected = outcome.isin(REJECTIONS)
     return settled.select(
         "transaction_id",
         "account_id",

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.schemas import DEAD_LETTER, MONEY, TRANSACTION_WIRE
+from tallyguard.operators.balance import UNKNOWN, UNREADABLE
+from tallyguard.schemas import MONEY, TRANSACTION_WIRE
 
-INVALID = "INVALID_REQUEST"
-UNREADABLE = "DESERIALIZATION"
 
 
 def transaction_payload() -> Column:
@@ -66,7 +65,7 @@ def alert_dead_letters(rejects: DataFrame, topic: str = "alerts") -> DataFrame:
         "arrival", F.col("trigger_arrival")
     )
     return _letters(
-        placed, topic, F.lit("UNKNOWN_ACCOUNT"), F.col("error_message"), payload
+        placed, topic, F.lit(UNKNOWN), F.col("error_message"), payload
     )
 
 
@@ -112,6 +111,3 @@ def replay_arrivals(letters: DataFrame, shift: int) -> DataFrame:
         (F.col("orig_offset") + shift).alias("arrival"),
         F.col("orig_partition").alias("partition"),
     )
-
-
-DEAD_LETTER_COLUMNS = DEAD_LETTER.names

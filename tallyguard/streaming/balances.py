@@ -15,6 +15,7 @@ from tallyguard.operators.balance import (
     DUPLICATE,
     FROZEN,
     INSUFFICIENT,
+    REJECTIONS,
     UNKNOWN,
     reject_message,
 )
@@ -85,9 +86,13 @@ def stream_outcomes(
     """The outcome of every streamed transaction, in the shape of the batch result.
 
     ``accounts`` and ``ledger`` are static tables read once, when the query
-    first starts; from then on the checkpoint holds the truth.
+    first starts; from then on the checkpoint holds the truth. Incomplete
+    records are dead-lettered where the stream is decoded, not here.
     """
-    rows = txns.where(F.col("account_id").isNotNull()).select(
+    whole = (
+        F.col("account_id").isNotNull() & F.col("type").isNotNull() & F.col("amount").isNotNull()
+    )
+    rows = txns.where(whole).select(
         "transaction_id",
         "account_id",
         "type",
@@ -119,7 +124,7 @@ def stream_outcomes(
         Balances(), OUTCOME_OUTPUT, "Append", "None", initialState=start.groupBy("account_id")
     )
     outcome = F.col("outcome")
-    rejected = outcome.isin(UNKNOWN, FROZEN, INSUFFICIENT)
+    rejected = outcome.isin(REJECTIONS)
     return settled.select(
         "transaction_id",
         "account_id",

@@ -253,3 +253,40 @@ def test_ledger_rows_are_the_applied_ones(spark):
     assert ledger.new_transactions(txns, ledger.ledger_rows(result)).select(
         F.collect_list("transaction_id")
     ).first()[0] == ["U"]
+
+
+def test_incomplete_records_are_refused_not_applied(spark):
+    txns = txns_of(spark, [("T", "S", "DEPOSIT", "5", 1), ("U", "S", "DEPOSIT", "5", 2)])
+    hollow = txns.withColumn("amount", F.when(F.col("arrival") == 2, F.col("amount")))
+    result = balance.apply_transactions(
+        hollow, accounts_of(spark, [("S", "0", "ACTIVE")]), ledger_of(spark, [])
+    )
+    assert outcome_map(result) == {
+        1: ("REJECTED", "DESERIALIZATION", None),
+        2: ("APPLIED", None, 500),
+    }
+
+
+def test_a_constant_error_of_the_estimate_needs_no_second_fold(spark, monkeypatch):
+    """One early refusal shifts every later chunk; their decisions stay the same."""
+    rows = [("X", "S", "WITHDRAW", "900", 0), ("Y", "S", "DEPOSIT", "5000", 1)]
+    rows += [(f"T{n}", "S", "WITHDRAW", "1", n) for n in range(2, 60)]
+    folds = []
+    fold_rows = balance._fold
+
+    def counted(due):
+        folds.append(due.count())
+        return fold_rows(due)
+
+    monkeypatch.setattr(balance, "_fold", counted)
+    result = balance.apply_transactions(
+        txns_of(spark, rows),
+        accounts_of(spark, [("S", "100", "ACTIVE")]),
+        ledger_of(spark, []),
+        scale=ScaleParams(chunk_rows=10, max_hot_keys=100),
+    )
+    got = outcome_map(result)
+    assert got[0] == ("REJECTED", "INSUFFICIENT_FUNDS", None)
+    assert got[59] == ("APPLIED", None, 510000 - 58 * 100)
+    # The cold path folds nothing; the first round folds all chunks, and no round follows.
+    assert folds == [0, 60]
