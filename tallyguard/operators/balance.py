@@ -12,7 +12,8 @@ the result depends on the order. Three paths give the same answer:
   estimated opening balance. A wrong estimate that changes no decision only
   shifts the chunk's balances; other chunks are folded again from what the
   chunk before ended with, until all agree. The first chunk's balance is
-  known, so at least one more chunk is final every round.
+  known, and runs of wrong chunks are folded in ever longer stretches, so the
+  number of rounds grows only with the logarithm of the number of chunks.
 """
 
 from __future__ import annotations
@@ -91,6 +92,7 @@ def apply_transactions(
     slow = _fold(
         running.where(~decided)
         .withColumn("entry_cents", F.col("opening_cents"))
+        .withColumn("_run", F.col(CHUNK))
         .withColumn("copied_before", F.lit(False))
         .withColumn("spans", F.lit(False))
     )
@@ -218,16 +220,19 @@ def _all_apply(rows: DataFrame) -> DataFrame:
 
 
 def _fold(rows: DataFrame) -> DataFrame:
-    """Run the state machine over each (account, chunk) in arrival order."""
+    """Run the state machine over each (account, run of chunks) in arrival order."""
     inputs = rows.select(
         *_PASSED,
+        "_run",
         "debit",
         "blocked",
         "repeated",
         "copied_before",
         "entry_cents",
     )
-    placed = inputs.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "arrival")
+    placed = inputs.repartition("account_id", "_run").sortWithinPartitions(
+        "account_id", "_run", "arrival"
+    )
     return placed.mapInPandas(_fold_batches, _FOLD_OUTPUT)
 
 
@@ -236,9 +241,9 @@ def _fold_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     group, balance, applied_ids = None, 0, set()
     for batch in batches:
         outcomes, balances = [], []
-        for account, chunk, ident, cents, debit, blocked, repeated, before, entry in zip(
+        for account, run, ident, cents, debit, blocked, repeated, before, entry in zip(
             batch["account_id"].tolist(),
-            batch[CHUNK].tolist(),
+            batch["_run"].tolist(),
             batch["transaction_id"].tolist(),
             batch["cents"].tolist(),
             batch["debit"].tolist(),
@@ -248,8 +253,8 @@ def _fold_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             batch["entry_cents"].tolist(),
             strict=True,
         ):
-            if group != (account, chunk):
-                group, balance, applied_ids = (account, chunk), entry, set()
+            if group != (account, run):
+                group, balance, applied_ids = (account, run), entry, set()
             if before or (repeated and ident in applied_ids):
                 outcome = DUPLICATE
             elif blocked:
@@ -285,11 +290,10 @@ def _settle_chunks(live: DataFrame) -> DataFrame:
     )
     copies = (
         per_chunk_ids.join(spanning, ["account_id", "transaction_id"])
-        .select(*_GROUP, "transaction_id", "applied")
+        .select(*_GROUP, "transaction_id", "applied", F.lit(False).alias("used_before"))
         .checkpoint()
     )
     any_copies = not copies.isEmpty()
-    copies = _copied_before(copies)
 
     # Opening estimate of a chunk: everything before it applied, never below zero for it.
     in_order = Window.partitionBy("account_id").orderBy(CHUNK)
@@ -322,8 +326,14 @@ def _settle_chunks(live: DataFrame) -> DataFrame:
     while not chunks.where("stale").isEmpty():
         number += 1
         target = f"{base}/outcomes/round={number}"
-        due = rows.join(chunks.where("stale").select(*_GROUP, "entry_cents"), _GROUP)
+        planned = _plan_runs(chunks, level=max(0, number - 3)).checkpoint()
+        in_run = Window.partitionBy("account_id", "_run").orderBy(CHUNK)
+        entries = planned.where(F.col("_run").isNotNull()).select(
+            *_GROUP, "_run", F.first("entry_cents").over(in_run).alias("entry_cents")
+        )
+        due = rows.join(entries, _GROUP)
         if any_copies:
+            copies = _applied_before_run(copies, planned)
             marks = copies.select(
                 *_GROUP, "transaction_id", "copied_before", F.lit(True).alias("spans")
             )
@@ -331,63 +341,27 @@ def _settle_chunks(live: DataFrame) -> DataFrame:
         else:
             due = due.withColumn("copied_before", F.lit(False)).withColumn("spans", F.lit(False))
         _fold(
-            due.withColumn("spans", F.coalesce("spans", F.lit(False))).withColumn(
-                "copied_before", F.coalesce("copied_before", F.lit(False))
-            )
+            due.withColumn("spans", F.coalesce("spans", F.lit(False)))
+            .withColumn("copied_before", F.coalesce("copied_before", F.lit(False)))
+            .withColumn("repeated", F.col("repeated") | F.col("spans"))
         ).write.parquet(target)
         folded = spark.read.parquet(target)
 
-        outcome, balance = F.col("outcome"), F.col("balance_cents")
-        debit = F.col("type") != "DEPOSIT"
-        never = F.lit(_NEVER)
-        measured = folded.groupBy(*_GROUP).agg(
-            F.max_by("balance_cents", "arrival").alias("new_exit"),
-            F.coalesce(F.min(F.when((outcome == APPLIED) & debit, balance)), never).alias(
-                "new_lowest"
-            ),
-            F.coalesce(
-                F.min(F.when(outcome == INSUFFICIENT, F.col("cents") - balance)), never
-            ).alias("new_short_by"),
-        )
-        walked = (
-            chunks.join(measured, _GROUP, "left")
-            .select(
-                *_GROUP,
-                "opening_cents",
-                "entry_cents",
-                F.coalesce("new_exit", "exit_cents").alias("exit_cents"),
-                F.coalesce("new_lowest", "lowest").alias("lowest"),
-                F.coalesce("new_short_by", "short_by").alias("short_by"),
-                F.when(F.col("new_exit").isNotNull(), number)
-                .otherwise(F.col("round"))
-                .alias("round"),
-            )
-            .groupBy("account_id")
-            .applyInPandas(_walk_chunks, _CHUNK_COLUMNS)
+        walked = _measure(planned, folded, number).groupBy("account_id").applyInPandas(
+            _walk_chunks, _CHUNK_COLUMNS
         )
         if any_copies:
-            done = folded.where("spans").groupBy(*_GROUP, "transaction_id").agg(
-                F.max(outcome == APPLIED).alias("now_applied")
-            )
-            # What a chunk was folded with: the flags of this round, or those kept from before.
-            refreshed = _copied_before(
-                copies.withColumn("was_before", F.col("copied_before"))
-                .drop("copied_before")
-                .join(done, [*_GROUP, "transaction_id"], "left")
-                .withColumn("applied", F.coalesce("now_applied", "applied"))
-                .drop("now_applied")
-            ).checkpoint()
-            shifted = (
-                refreshed.where(F.col("copied_before") != F.col("was_before"))
+            copies = _record_copies(copies, folded).checkpoint()
+            misled = (
+                copies.where(F.col("now_before") != F.col("used_before"))
                 .select(*_GROUP)
                 .distinct()
-                .withColumn("shifted", F.lit(True))
+                .withColumn("misled", F.lit(True))
             )
-            copies = refreshed.drop("was_before")
             walked = (
-                walked.join(shifted, _GROUP, "left")
-                .withColumn("stale", F.col("stale") | F.coalesce("shifted", F.lit(False)))
-                .drop("shifted")
+                walked.join(misled, _GROUP, "left")
+                .withColumn("stale", F.col("stale") | F.coalesce("misled", F.lit(False)))
+                .drop("misled")
             )
         chunks = walked.withColumn(
             "entry_cents",
@@ -437,15 +411,88 @@ def _walk_chunks(chunks: pd.DataFrame) -> pd.DataFrame:
     return chunks.assign(resolved_cents=resolved, stale=stale)
 
 
-def _copied_before(copies: DataFrame) -> DataFrame:
-    """Flag, per chunk, the ids that some earlier chunk of the account applied."""
-    earlier = (
+def _plan_runs(chunks: DataFrame, level: int) -> DataFrame:
+    """Which chunks to fold next: ``_run`` is the first chunk of the run, null if not due.
+
+    A run goes from a stale chunk to the end of its stretch of ``2 ** level``
+    chunks. Chunks that stay wrong depend on a longer past, so stretches double
+    from round to round; the rounds grow with the logarithm of the chunks.
+    """
+    stretch = Window.partitionBy("account_id", F.shiftright(F.col(CHUNK), level))
+    first = F.min(F.when(F.col("stale"), F.col(CHUNK))).over(stretch)
+    return chunks.withColumn("_first", first).select(
+        *chunks.columns,
+        F.when(F.col(CHUNK) >= F.col("_first"), F.col("_first")).alias("_run"),
+    )
+
+
+def _measure(planned: DataFrame, folded: DataFrame, number: int) -> DataFrame:
+    """Chunks with what the fold found: where each began and ended, and its margins."""
+    outcome, balance = F.col("outcome"), F.col("balance_cents")
+    applied_debit = (outcome == APPLIED) & (F.col("type") != "DEPOSIT")
+    refused_by = F.when(outcome == INSUFFICIENT, F.col("cents") - balance)
+    never = F.lit(_NEVER)
+    found = folded.groupBy(*_GROUP).agg(
+        F.max_by("balance_cents", "arrival").alias("new_exit"),
+        F.coalesce(F.min(F.when(applied_debit, balance)), never).alias("new_lowest"),
+        F.coalesce(F.min(refused_by), never).alias("new_short_by"),
+    )
+    in_order = Window.partitionBy("account_id").orderBy(CHUNK)
+    inside_run = F.col(CHUNK) > F.col("_run")
+    return (
+        planned.join(found, _GROUP, "left")
+        .withColumn("_previous_exit", F.lag("new_exit").over(in_order))
+        .select(
+            *_GROUP,
+            "opening_cents",
+            F.when(inside_run, F.col("_previous_exit"))
+            .otherwise(F.col("entry_cents"))
+            .alias("entry_cents"),
+            F.coalesce("new_exit", "exit_cents").alias("exit_cents"),
+            F.coalesce("new_lowest", "lowest").alias("lowest"),
+            F.coalesce("new_short_by", "short_by").alias("short_by"),
+            F.when(F.col("_run").isNotNull(), number).otherwise(F.col("round")).alias("round"),
+        )
+    )
+
+
+def _applied_before_run(copies: DataFrame, planned: DataFrame) -> DataFrame:
+    """Flag, per chunk, the ids that a chunk before its run applied; the fold sees the rest."""
+    placed = copies.select(*_GROUP, "transaction_id", "applied", "used_before").join(
+        planned.select(*_GROUP, "_run"), _GROUP
+    )
+    before_run = (
         Window.partitionBy("account_id", "transaction_id")
-        .orderBy(CHUNK)
-        .rowsBetween(Window.unboundedPreceding, -1)
+        .orderBy("_place")
+        .rangeBetween(Window.unboundedPreceding, -1)
+    )
+    return placed.withColumn("_place", F.coalesce("_run", CHUNK)).withColumn(
+        "copied_before", F.coalesce(F.max("applied").over(before_run), F.lit(False))
     )
-    return copies.withColumn(
-        "copied_before", F.coalesce(F.max("applied").over(earlier), F.lit(False))
+
+
+def _record_copies(copies: DataFrame, folded: DataFrame) -> DataFrame:
+    """What chunks did with ids found in several, what they assumed, and what holds now."""
+    done = folded.where("spans").groupBy(*_GROUP, "transaction_id").agg(
+        F.max(F.col("outcome") == APPLIED).alias("now_applied")
+    )
+    ids = Window.partitionBy("account_id", "transaction_id")
+    earlier = ids.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    run = Window.partitionBy("account_id", "transaction_id", "_place")
+    earlier_in_run = run.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    no = F.lit(False)
+    return (
+        copies.join(done, [*_GROUP, "transaction_id"], "left")
+        .withColumn("applied", F.coalesce("now_applied", "applied"))
+        .withColumn("_in_run", F.coalesce(F.max("applied").over(earlier_in_run), no))
+        .withColumn(
+            "used_before",
+            F.when(F.col("_run").isNotNull(), F.col("copied_before") | F.col("_in_run")).otherwise(
+                F.col("used_before")
+            ),
+        )
+        .withColumn("now_before", F.coalesce(F.max("applied").over(earlier), no))
+        .select(*_GROUP, "transaction_id", "applied", "used_before", "now_before")
     )
 
 
