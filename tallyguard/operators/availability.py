@@ -88,8 +88,11 @@ def _truthy(value: Column) -> Column:
     return F.coalesce(~falsy, F.lit(False))
 
 
-def classify(retailer: Column, http_status: Column, body: Column) -> Column:
-    """IN STOCK, OUT OF STOCK or ERROR for one captured response."""
+def classify(retailer: Column, http_status: Column, body: Column, error: Column) -> Column:
+    """IN STOCK, OUT OF STOCK or ERROR for one captured response.
+
+    ``error`` names what went wrong when no response came at all.
+    """
     text = F.lower(body)
     parsed = F.try_parse_json(body)
     refused = text.contains("not serviceable") | text.contains("out of stock")
@@ -102,7 +105,8 @@ def classify(retailer: Column, http_status: Column, body: Column) -> Column:
     by_detail = F.when(refused, OUT_OF_STOCK).when(promised, IN_STOCK).otherwise(OUT_OF_STOCK)
     by_service = F.when(serviceable, IN_STOCK).otherwise(OUT_OF_STOCK)
     return (
-        F.when(http_status != 200, F.concat(F.lit("ERROR: HTTP "), http_status.cast("string")))
+        F.when(error.isNotNull(), F.concat(F.lit("ERROR: "), error))
+        .when(http_status != 200, F.concat(F.lit("ERROR: HTTP "), http_status.cast("string")))
         .when(parsed.isNull(), "ERROR: bad JSON")
         .when(retailer == DETAIL_RETAILER, by_detail)
         .otherwise(by_service)
@@ -111,7 +115,7 @@ def classify(retailer: Column, http_status: Column, body: Column) -> Column:
 
 def classify_availability(responses: DataFrame) -> DataFrame:
     """Responses with their status, ready for the report."""
-    status = classify(F.col("retailer"), F.col("http_status"), F.col("body"))
+    status = classify(*[F.col(name) for name in ("retailer", "http_status", "body", "error")])
     return responses.select("run_id", *KEY, status.alias("status"))
 
 

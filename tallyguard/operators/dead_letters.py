@@ -24,6 +24,21 @@ def transaction_payload() -> Column:
     )
 
 
+def alert_payload(detected_at: Column | None = None) -> Column:
+    """An alert in its wire form, as JSON text; the sink knows when it was detected."""
+    stamp = [] if detected_at is None else [F.unix_millis(detected_at).alias("detectedAt")]
+    return F.to_json(
+        F.struct(
+            F.col("account_id").alias("accountId"),
+            F.col("transaction_id").alias("transactionId"),
+            F.col("rule_type").alias("ruleType"),
+            "reason",
+            "count",
+            *stamp,
+        )
+    )
+
+
 def _letters(
     rejects: DataFrame, topic: str, error_class: Column, message: Column, payload: Column
 ) -> DataFrame:
@@ -52,20 +67,11 @@ def transaction_dead_letters(outcomes: DataFrame, topic: str = "transactions") -
 
 def alert_dead_letters(rejects: DataFrame, topic: str = "alerts") -> DataFrame:
     """Alerts for unknown accounts. They carry no partition of their own in batch."""
-    payload = F.to_json(
-        F.struct(
-            F.col("account_id").alias("accountId"),
-            F.col("transaction_id").alias("transactionId"),
-            F.col("rule_type").alias("ruleType"),
-            "reason",
-            "count",
-        )
-    )
     placed = rejects.withColumn("partition", F.lit(None).cast("int")).withColumn(
         "arrival", F.col("trigger_arrival")
     )
     return _letters(
-        placed, topic, F.lit(UNKNOWN), F.col("error_message"), payload
+        placed, topic, F.lit(UNKNOWN), F.col("error_message"), alert_payload()
     )
 
 

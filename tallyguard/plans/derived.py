@@ -307,7 +307,7 @@ CASE slot
   WHEN 12 THEN '{"serviceable":"true"}'
   WHEN 13 THEN '{"serviceable":false}'
   WHEN 14 THEN '{"pinCodeDetails":1,"serviceable":true}'
-  WHEN 15 THEN '{}'
+  WHEN 15 THEN NULL
   ELSE '{"promiseDetails":{"x":1},"serviceable":true}' END
 """
 
@@ -337,8 +337,9 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "retailer",
         "product",
         (F.col("s_suppkey") + 411001).cast("string").alias("pincode"),
-        F.when(F.col("slot") == 7, 503).otherwise(200).alias("http_status"),
+        F.when(F.col("slot") == 7, 503).when(F.col("slot") != 15, 200).alias("http_status"),
         F.expr(RESPONSE_BODY).alias("body"),
+        F.when(F.col("slot") == 15, "ConnectTimeout").alias("error"),
     )
 
 

@@ -334,6 +334,7 @@ _RESULTS = f"""
       FROM resp),
     results AS (
       SELECT run_id, retailer, product, pincode, CASE
+        WHEN slot = 15 THEN 'ERROR: ConnectTimeout'
         WHEN http_status <> 200 THEN 'ERROR: HTTP ' || CAST(http_status AS VARCHAR)
         WHEN NOT json_valid(body) THEN 'ERROR: bad JSON'
         WHEN retailer = 'Croma' THEN CASE

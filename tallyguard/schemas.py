@@ -98,9 +98,19 @@ AVAILABILITY_RESPONSE = _struct(
     pincode=StringType(),
     http_status=IntegerType(),
     body=StringType(),
+    error=StringType(),
+)
+
+# The wire forms on a broker: JSON text or Avro with these names.
+ALERT_WIRE = _struct(
+    accountId=StringType(),
+    transactionId=StringType(),
+    ruleType=StringType(),
+    reason=StringType(),
+    count=LongType(),
+    detectedAt=LongType(),
 )
 
-# The wire form of a transaction on a broker: JSON text or Avro with these names.
 TRANSACTION_WIRE = _struct(
     transactionId=StringType(),
     accountId=StringType(),

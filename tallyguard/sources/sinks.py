@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyguard.functions.text import strip
-from tallyguard.operators.dead_letters import transaction_payload
+from tallyguard.operators.dead_letters import alert_payload, transaction_payload
 
 
 def keyed_messages(txns: DataFrame) -> DataFrame:
@@ -15,8 +15,29 @@ def keyed_messages(txns: DataFrame) -> DataFrame:
     return txns.select(F.col("account_id").alias("key"), transaction_payload().alias("value"))
 
 
+def alert_messages(alerts: DataFrame) -> DataFrame:
+    """Alerts as key and value, stamped with the time they leave; works on streams too."""
+    return alerts.select(
+        F.col("account_id").alias("key"), alert_payload(F.current_timestamp()).alias("value")
+    )
+
+
+def start_topic_sink(messages: DataFrame, servers: str, topic: str, checkpoint: str):
+    """Write a stream of key and value to a topic; needs the Kafka connector."""
+    return (
+        messages.writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )
+
+
 def publish_to_broker(txns: DataFrame, servers: str, topic: str) -> None:
-    """Write a batch to a topic, in arrival order per account; needs the Kafka connector."""
+    """Write a batch to a topic, in arrival order per account; needs the Kafka connector.
+
+    A topic keeps the order of one writer only, so each account has one writer.
+    """
     ordered = txns.repartition("account_id").sortWithinPartitions("account_id", "arrival")
     (
         keyed_messages(ordered)

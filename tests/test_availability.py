@@ -35,7 +35,11 @@ def responses_of(spark, rows):
 
 def test_classification(spark):
     cases = [("Croma", *c) for c in CROMA] + [("Reliance Digital", *c) for c in RELIANCE]
-    rows = [(1, r, "p", str(n), code, body) for n, (r, code, body, _) in enumerate(cases)]
+    cases.append(("Croma", None, None, "ERROR: ReadTimeout"))
+    rows = [
+        (1, r, "p", str(n), code, body, None if code else "ReadTimeout")
+        for n, (r, code, body, _) in enumerate(cases)
+    ]
     got = {r.pincode: r.status for r in av.classify_availability(responses_of(spark, rows)).collect()}
     assert got == {str(n): case[-1] for n, case in enumerate(cases)}
 
@@ -55,10 +59,10 @@ def history(spark):
     for run in (10, 20, 35):
         middle = run == 20
         rows += [
-            (run, "Croma", "p", "always", 200, live),
-            (run, "Croma", "p", "never", 200, gone),
-            (run, "Croma", "p", "returns", 200, gone if middle else live),
-            (run, "Croma", "p", "error", 500 if middle else 200, live),
+            (run, "Croma", "p", "always", 200, live, None),
+            (run, "Croma", "p", "never", 200, gone, None),
+            (run, "Croma", "p", "returns", 200, gone if middle else live, None),
+            (run, "Croma", "p", "error", 500 if middle else 200, live, None),
         ]
     return av.classify_availability(responses_of(spark, rows)).cache()
 

@@ -1,3 +1,4 @@
+import math
 import random
 from datetime import UTC, datetime
 from decimal import Decimal
@@ -148,7 +149,12 @@ def fold(rows, opening, status, freezes, done):
         (3, ScaleParams(chunk_rows=90, max_hot_keys=8)),
     ],
 )
-def test_equals_one_by_one_application(spark, seed, scale):
+def test_equals_one_by_one_application(spark, monkeypatch, seed, scale):
+    levels = []
+    plan_runs = balance._plan_runs
+    monkeypatch.setattr(
+        balance, "_plan_runs", lambda chunks, level: levels.append(level) or plan_runs(chunks, level)
+    )
     rows, opening, status, freezes, done = random_run(seed)
     txns = txns_of(
         spark, [(i, a, k, Decimal(c) / 100, n) for i, a, k, c, n in rows]
@@ -161,6 +167,8 @@ def test_equals_one_by_one_application(spark, seed, scale):
     ).cache()
     expected = fold(rows, opening, status, freezes, done)
     assert outcome_map(result) == expected
+    # Three rounds of single chunks, then doubling runs until one covers them all.
+    assert len(levels) <= 4 + math.ceil(math.log2(max(2, len(rows) / scale.chunk_rows)))
 
     kinds = {r.status: r["count"] for r in result.groupBy("status").count().collect()}
     assert sum(kinds.values()) == len(rows)

@@ -78,3 +78,32 @@ def test_files_keep_account_order(spark, tmp_path):
         last = seen.get((row.file, row.account_id), -1)
         assert row.arrival > last
         seen[row.file, row.account_id] = row.arrival
+
+
+def test_alerts_travel_as_messages(spark):
+    import cases
+
+    from tallyguard.operators import rules
+    from tallyguard.params import RuleParams
+    from tallyguard.sources.alerts import decode_alerts
+
+    alerts = rules.large_amount(cases.transactions(spark), RuleParams())
+    messages = sinks.alert_messages(alerts).withColumn("offset", F.lit(7).cast("long"))
+    bad = spark.createDataFrame([("k", "{}", 8), ("k", "no", 9)], "key string, value string, offset long")
+    back = decode_alerts(messages.unionByName(bad)).collect()
+    assert [(a.account_id, a.rule_type, a["count"], a.trigger_arrival) for a in back] == [
+        ("B1", "LARGE_AMOUNT", 1, 7)
+    ]
+    assert back[0].alert_ts is not None
+
+
+def test_alert_files_are_read_back(spark, tmp_path):
+    import cases
+
+    from tallyguard.operators import rules
+    from tallyguard.params import RuleParams
+    from tallyguard.sources.alerts import read_alert_files
+
+    alerts = rules.large_amount(cases.transactions(spark), RuleParams())
+    alerts.write.parquet(str(tmp_path / "alerts"))
+    assert [a.account_id for a in read_alert_files(spark, str(tmp_path / "alerts")).collect()] == ["B1"]
