@@ -17,10 +17,10 @@ def tables():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query_equals_its_sql(spark, tables, name):
     df = entry.queries()[name](spark, SMALL)
     cursor = tables.execute(entry.oracle_sql()[name])
