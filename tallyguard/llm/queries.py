@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyguard.llm.exact_dedup import exact_groups
 from tallyguard.llm.mixing import mix_sources
+from tallyguard.llm.quality import quality
 from tallyguard.llm.token_counts import count_tokens
+from tallyguard.llm.url_filter import filter_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,12 +26,22 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixing": op6_mixing,
     "op7_token_counts": op7_token_counts,
+    "op8_quality_rules": op8_quality_rules,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_url_filter": op10_url_filter,
 }
