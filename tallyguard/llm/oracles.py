@@ -11,6 +11,39 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 FROM n JOIN g USING (norm)
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"list_filter(regexp_split_to_array({0}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+MINHASH = f"""
+WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, {_WORDS.format(_LOWER)} AS ws FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN ws ELSE ws[i : i + 4] END AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)
+),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+  WHERE 100 * k >= 75 * (x.n + y.n - k)
+),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+),
+c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept,
+  coalesce(m.class_id, d.doc_id) AS class_id
+FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id) LEFT JOIN (
+  SELECT doc_id, min(doc_id) OVER (PARTITION BY gs) AS class_id
+  FROM (SELECT doc_id, list(g ORDER BY g) AS gs FROM s GROUP BY doc_id)
+) m USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_minhash": MINHASH,
     "op9_exact_dedup": EXACT_DEDUP,
 }

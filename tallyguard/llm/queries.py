@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyguard.llm.exact_dedup import exact_groups
+from tallyguard.llm.minhash import near_groups
 from tallyguard.llm.mixing import mix_sources
 from tallyguard.llm.quality import quality
 from tallyguard.llm.token_counts import count_tokens
@@ -17,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(_table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mix_sources(_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -39,6 +44,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash": op1_minhash,
     "op6_mixing": op6_mixing,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
