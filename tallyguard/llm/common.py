@@ -94,7 +94,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse, modulo 2**64."""
     have = _POWERS.get("up")
     if have is None or len(have) < n:
@@ -109,8 +109,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte span, from running sums, whatever the spans' lengths."""
-    up, _ = _powers(len(data) + 1)
+    up, _ = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(BYTE_CODES[data] * up[: len(data)], out=sums[1:])
-    _, down = _powers(len(data) + 1)
+    _, down = powers(len(data) + 1)
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))

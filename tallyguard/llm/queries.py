@@ -10,6 +10,7 @@ from tallyguard.llm.exact_dedup import exact_groups
 from tallyguard.llm.minhash import near_groups
 from tallyguard.llm.mixing import mix_sources
 from tallyguard.llm.quality import quality
+from tallyguard.llm.suffix_dedup import remove_repeats
 from tallyguard.llm.token_counts import count_tokens
 from tallyguard.llm.url_filter import filter_urls
 
@@ -22,6 +23,10 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(_table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mix_sources(_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -45,6 +50,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op6_mixing": op6_mixing,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
