@@ -5,8 +5,9 @@ so a signature needs half as many hash evaluations. Bands of signature values
 bring similar documents together; equal shingle sets are one class from the start.
 Within a band bucket no pairs are made at first: each class is held against one
 other of its bucket, links are confirmed on the full sets, and only classes that
-share a bucket and are still apart afterwards are paired. All pairs pass the
-estimate from the signatures before full sets are read.
+share a bucket and are still apart afterwards are compared by signature, bucket by
+bucket in one array, of which only likely links come out. All pairs pass the estimate
+from the signatures before full sets are read.
 """
 
 from __future__ import annotations
@@ -31,8 +32,10 @@ class MinHashParams:
     #: 125 permutations give 250 values: 50 bands of 5 miss a pair at 0.75 once in 700,000 times.
     permutations: int = 125
     band_values: int = 5
-    #: A pair at 0.75 agrees in fewer values than this share once in far over 10**9 times.
-    least_estimate: float = 0.55
+    #: A pair at 0.75 agrees in fewer values than this share once in a million times.
+    least_estimate: float = 0.62
+    #: Members of a bucket that one task compares; a larger bucket is compared in pairs of such blocks.
+    block_members: int = 32_768
     #: Rounds that hold each class against one other, before what is left is paired.
     star_rounds: int = 2
 
@@ -178,6 +181,61 @@ def _estimated(pairs: DataFrame, reps: DataFrame, params: MinHashParams) -> Data
     return joined.select("a", "b", "s_a", "s_b").mapInArrow(agree, "a long, b long, estimate double")
 
 
+def _likely_in_buckets(members: DataFrame, reps: DataFrame, params: MinHashParams) -> DataFrame:
+    """Pairs (a, b) of different components in one bucket whose signatures agree often enough.
+
+    ``members`` has (key, rep, label, n): n members share the key. Signatures are compared
+    inside the task, a member against all later ones, so pairs that fail are never rows.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        last = None
+
+        def flush() -> pa.RecordBatch:
+            ids, labels, sizes = (np.array([row[k] for row in held], np.int64) for k in ("rep", "label", "n_shingles"))
+            signs = np.frombuffer(b"".join(row["signature"] for row in held), np.uint8).reshape(len(held), -1)
+            block = np.array([row["block"] for row in held])
+            crossed = last[1] != last[2]
+            one, two, shares = [], [], []
+            for i in range(len(held) - 1):
+                later = np.arange(i + 1, len(held))
+                apart = labels[later] != labels[i]
+                if crossed:  # pairs within a block belong to that block's own task
+                    apart &= block[later] != block[i]
+                low, high = np.minimum(sizes[later], sizes[i]), np.maximum(sizes[later], sizes[i])
+                later = later[apart & (100 * low >= params.percent * high)]
+                share = (signs[later] == signs[i]).mean(1)
+                near = share >= params.least_estimate
+                one.append(np.full(int(near.sum()), ids[i]))
+                two.append(ids[later[near]])
+                shares.append(share[near])
+            one, two, shares = (np.concatenate(x) if x else np.zeros(0) for x in (one, two, shares))
+            a, b = np.minimum(one, two).astype(np.int64), np.maximum(one, two).astype(np.int64)
+            return pa.record_batch([pa.array(a), pa.array(b), pa.array(shares.astype(float))], names=["a", "b", "estimate"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                place = (row["key"], row["low"], row["high"])
+                if place != last:
+                    if len(held) > 1:
+                        yield flush()
+                    held, last = [], place
+                held.append(row)
+        if len(held) > 1:
+            yield flush()
+
+    blocks = F.ceil(F.col("n") / params.block_members).cast("long")
+    dealt = members.withColumn("block", F.pmod(F.xxhash64("rep"), blocks)).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    )
+    dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    whole = dealt.join(reps.select("rep", "n_shingles", "signature"), "rep").repartition("key", "low", "high")
+    whole = whole.select("key", "low", "high", "rep", "label", "block", "n_shingles", "signature")
+    found = whole.sortWithinPartitions("key", "low", "high").mapInArrow(compare, "a long, b long, estimate double")
+    return found.groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, params: MinHashParams) -> DataFrame:
     """Pairs (a, b) that are links on their full sets."""
 
@@ -211,9 +269,11 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 def _open_buckets(members: DataFrame) -> DataFrame:
     """Buckets with several components: the first member of the smallest."""
     first = F.struct("label", "rep")
-    ends = members.groupBy("key").agg(F.min(first).alias("first"), F.max("label").alias("last"))
+    ends = members.groupBy("key").agg(
+        F.min(first).alias("first"), F.max("label").alias("last"), F.count(F.lit(1)).alias("n")
+    )
     return ends.where(F.col("first.label") < F.col("last")).select(
-        "key", F.col("first.label").alias("first_label"), F.col("first.rep").alias("center")
+        "key", F.col("first.label").alias("first_label"), F.col("first.rep").alias("center"), "n"
     )
 
 
@@ -249,21 +309,19 @@ def near_groups(
         if turn < params.star_rounds:
             met = now.join(open_now, "key").where(F.col("label") != F.col("first_label"))
             pairs = met.select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b"), "rep")
-        else:
-            left = now.join(open_now.select("key"), "key")
-            one = left.select("key", F.col("rep").alias("a"), F.col("label").alias("label_a"))
-            two = left.select("key", F.col("rep").alias("b"), F.col("label").alias("label_b"))
-            pairs = one.join(two, "key").where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")))
-            pairs = pairs.select("a", "b", F.col("a").alias("rep"))
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        near = _estimated(pairs.select("a", "b"), reps, params)
-        if turn < params.star_rounds:  # the likeliest partner of each class
+            pairs = pairs.distinct()
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            near = _estimated(pairs.select("a", "b").distinct(), reps, params)
+            # The likeliest partner of each class.
             best = pairs.join(near, ["a", "b"]).groupBy("rep").agg(
                 F.max_by(F.struct("a", "b"), F.struct("estimate", -F.col("a"), -F.col("b"))).alias("pair")
             )
             near = best.select("pair.a", "pair.b").distinct()
+        else:
+            near = _likely_in_buckets(now.join(open_now.select("key", "n"), "key"), reps, params)
+            if tested is not None:
+                near = near.join(tested, ["a", "b"], "left_anti")
         near = written(near.select("a", "b"), "minhash-pairs")
         if near.isEmpty():
             continue

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyguard.llm.exact_dedup import exact_groups
 from tallyguard.llm.minhash import near_groups
 from tallyguard.llm.mixing import mix_sources
+from tallyguard.llm.piece_encoding import encode_and_decode
 from tallyguard.llm.quality import quality
+from tallyguard.llm.sentence_dedup import remove_repeated_sentences
 from tallyguard.llm.suffix_dedup import remove_repeats
 from tallyguard.llm.token_counts import count_tokens
 from tallyguard.llm.url_filter import filter_urls
@@ -27,6 +30,21 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op3_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_sentences(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+def op5_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_and_decode(_table(spark, sf_dir, "documents"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "exact",
+    )
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mix_sources(_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -51,6 +69,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_sentence_dedup": op3_sentence_dedup,
+    "op5_piece_encoding": op5_piece_encoding,
     "op6_mixing": op6_mixing,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
