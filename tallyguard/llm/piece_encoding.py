@@ -12,7 +12,6 @@ piece become bytes. The identifiers are those of the library.
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +22,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import byte_slices
+from tallyguard.llm.common import byte_slices, split_words
 from tallyguard.llm.suffix_array import SEPARATOR, suffix_array
 
 MODEL = "piece_bpe_32k.model"
@@ -35,7 +34,6 @@ REMEMBERED = 400_000
 LONG_WORD = 400
 MARK = "▁"
 _NONE = np.int32(2**31 - 1)
-_SAFE = re.compile("(?<=[^ ▁]) (?=[^ ▁])")
 
 
 class PieceModel:
@@ -123,7 +121,12 @@ def _found(keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
 class PieceEncoder:
     def __init__(self, path: str) -> None:
         self.model = PieceModel(path)
-        self.known: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """``known`` has the number of each word; its identifiers lie in ``flat``."""
+        self.known: dict[str, int] = {}
+        self.flat, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def _ranks(self, keys, piece, starts, ends) -> np.ndarray:
         at = _found(keys, starts, ends)
@@ -161,7 +164,10 @@ class PieceEncoder:
             keep[left + 1] = False
             left = left - np.arange(len(left))
             starts, ends, word, pair = starts[keep], ends[keep], word[keep], pair[keep]
-            touched = np.unique(np.concatenate([left, left[left > 0] - 1]))
+            changed = np.zeros(len(starts), bool)
+            changed[left] = True
+            changed[left[left > 0] - 1] = True
+            touched = np.flatnonzero(changed)
             pair[touched] = self._pairs_at(keys, piece, starts, ends, word, touched)
         for s, e, w in done:
             out_s.append(s), out_e.append(e), out_w.append(np.full(len(s), w))
@@ -209,8 +215,8 @@ class PieceEncoder:
         kept = [i for i in range(len(start)) if alive[i]]
         return np.array([start[i] for i in kept]), np.array([end[i] for i in kept])
 
-    def _encode_new(self, words: list[str]) -> list[np.ndarray]:
-        """Identifiers of distinct words, each with the space mark in front."""
+    def _encode_new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Identifiers of distinct words end to end, each with the space mark in front, and their counts."""
         raw = [(MARK + w.replace(" ", MARK)).encode() for w in words]
         separator = bytes([SEPARATOR])
         text = np.frombuffer(separator.join(raw) + separator, np.uint8)
@@ -225,40 +231,32 @@ class PieceEncoder:
         ids[places[hit]] = self.model.ids[piece[at[hit]]]
         for s, e, p in zip(starts[~hit], ends[~hit], places[~hit]):
             ids[p : p + e - s] = self.model.byte_ids[text[s:e]]
-        per_word = np.bincount(word, sizes, len(raw)).astype(np.int64)
-        return np.split(ids, np.cumsum(per_word)[:-1])
+        return ids, np.bincount(word, sizes, len(raw)).astype(np.int64)
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Identifiers of each text."""
-        texts = texts.fill_null("").to_pylist()
-        cut = [_SAFE.split(t) if "  " in t or MARK in t or t[:1] == " " or t[-1:] == " " else t.split(" ") for t in texts]
-        flat = pa.array([w for words in cut for w in words], pa.string()).dictionary_encode()
-        distinct = flat.dictionary.to_pylist()
-        found: list = [self.known.get(w) for w in distinct]
-        todo = [i for i, ids in enumerate(found) if ids is None]
-        while todo:
-            size, stop = 0, 0
-            while stop < len(todo) and (stop == 0 or size < INDEX_BYTES):
-                size += len(distinct[todo[stop]]) + 4
-                stop += 1
-            for i, ids in zip(todo[:stop], self._encode_new([distinct[i] for i in todo[:stop]])):
-                found[i] = ids
-            todo = todo[stop:]
+        words, counts = split_words(texts)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
         if len(self.known) + len(distinct) > REMEMBERED:
-            self.known = {}
-        self.known.update(zip(distinct, found))
-        sizes = np.array([len(x) for x in found], np.int64)
-        joined = np.concatenate(found) if found else np.zeros(0, np.int32)
-        heads = np.cumsum(sizes) - sizes
-        order = flat.indices.to_numpy()
-        counts = sizes[order]
-        at = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(heads[order], counts)
-        ids = joined[at]
-        words = np.array([len(w) if t else 0 for w, t in zip(cut, texts)], np.int64)
-        own = np.array([len(w) for w in cut], np.int64)
-        per_text = np.add.reduceat(counts, np.cumsum(own) - own) if len(own) else own
-        parts = np.split(ids, np.cumsum(per_text)[:-1]) if len(own) else []
-        return [part if n else part[:0] for part, n in zip(parts, words)]
+            self._forget()
+        todo = [w for w in distinct if w not in self.known]
+        at = 0
+        while at < len(todo):
+            size, stop = 0, at
+            while stop < len(todo) and (stop == at or size < INDEX_BYTES):
+                size += len(todo[stop]) + 4
+                stop += 1
+            ids, sizes = self._encode_new(todo[at:stop])
+            self.known.update(zip(todo[at:stop], range(len(self.sizes), len(self.sizes) + len(sizes))))
+            self.flat, self.sizes = np.concatenate([self.flat, ids]), np.concatenate([self.sizes, sizes])
+            at = stop
+        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        heads, sizes = (np.cumsum(self.sizes) - self.sizes)[number], self.sizes[number]
+        ends = np.cumsum(sizes)
+        ids = self.flat[np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes) + np.repeat(heads, sizes)]
+        borders = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        return [ids[s:e] for s, e in zip(borders[:-1], borders[1:])]
 
 
 def encode_and_decode(

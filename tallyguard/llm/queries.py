@@ -12,6 +12,7 @@ from tallyguard.llm.minhash import near_groups
 from tallyguard.llm.mixing import mix_sources
 from tallyguard.llm.piece_encoding import encode_and_decode
 from tallyguard.llm.quality import quality
+from tallyguard.llm.secret_scan import scan_secrets
 from tallyguard.llm.sentence_dedup import remove_repeated_sentences
 from tallyguard.llm.suffix_dedup import remove_repeats
 from tallyguard.llm.token_counts import count_tokens
@@ -34,6 +35,10 @@ def op3_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_sentences(_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(_table(spark, sf_dir, "documents"))
+
+
 def op5_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_and_decode(_table(spark, sf_dir, "documents"))
     return coded.select(
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_sentence_dedup": op3_sentence_dedup,
+    "op4_secret_scan": op4_secret_scan,
     "op5_piece_encoding": op5_piece_encoding,
     "op6_mixing": op6_mixing,
     "op7_token_counts": op7_token_counts,

@@ -7,27 +7,22 @@ and only their lengths travel back.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import byte_slices, utf8
+from tallyguard.llm.common import byte_slices, split_words, utf8
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 GROUP_BYTES = 12 << 20
 ENCODE_PIECES = 20_000
 
-#: One space between two characters that are neither a space nor the mark the model writes for one.
-_SAFE = re.compile("(?<=[^ ▁]) (?=[^ ▁])")
-
 
 class PieceCounter:
     """Counts by one model. A piece starts with the space mark that the space before it becomes."""
@@ -51,22 +46,12 @@ class PieceCounter:
         texts = texts.fill_null("")
         if not self.splits:
             return self.lengths(texts.to_pylist())
-        plain = pc.invert(pc.match_substring_regex(texts, "^ |  | $|▁"))
-        pieces = pc.split_pattern(texts, " ")
-        odd = pc.filter(texts, pc.invert(plain)).to_pylist()
-        if odd:  # runs of spaces stay with the word that follows them
-            pieces = pa.concat_arrays([pc.filter(pieces, plain), pa.array([_SAFE.split(x) for x in odd], pa.list_(pa.string()))])
-        coded = pieces.flatten().dictionary_encode()
+        pieces, counts = split_words(texts)
+        coded = pieces.dictionary_encode()
         sizes = self.lengths(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         sums = np.concatenate([[0], np.cumsum(sizes)])
-        borders = np.concatenate([[0], np.cumsum(pc.list_value_length(pieces).to_numpy())])
-        found = sums[borders[1:]] - sums[borders[:-1]]
-        back = np.argsort(pc.invert(plain).to_numpy(zero_copy_only=False), kind="stable") if odd else None
-        if back is None:
-            return found
-        out = np.empty(len(found), np.int64)
-        out[back] = found
-        return out
+        borders = np.concatenate([[0], np.cumsum(counts)])
+        return sums[borders[1:]] - sums[borders[:-1]]
 
 
 def count_tokens(
