@@ -29,15 +29,16 @@ class MinHashParams:
     shingle_words: int = 5
     #: Link where 100 * intersection >= percent * union.
     percent: int = 75
-    #: 125 permutations give 250 values: 50 bands of 5 miss a pair at 0.75 once in 700,000 times.
-    permutations: int = 125
+    #: 250 permutations give 500 values. 50 bands of 5 of them miss a pair at 0.75 once in 700,000 times.
+    permutations: int = 250
+    bands: int = 50
     band_values: int = 5
-    #: A pair at 0.75 agrees in fewer values than this share once in a million times.
-    least_estimate: float = 0.62
+    #: A pair at 0.75 agrees in fewer values than this share once in 500,000 times.
+    least_estimate: float = 0.66
     #: Members of a bucket that one task compares; a larger bucket is compared in pairs of such blocks.
     block_members: int = 32_768
     #: Rounds that hold each class against one other, before what is left is paired.
-    star_rounds: int = 2
+    star_rounds: int = 3
 
 
 def _constants(n: int, seed: int, kind) -> np.ndarray:
@@ -82,7 +83,7 @@ class Signer:
         self.masks = _constants(params.permutations, 21, np.uint32)
         self.odd = _constants(params.permutations, 22, np.uint32) | np.uint32(1)
         self.width = params.band_values
-        self.bands = 2 * params.permutations // params.band_values
+        self.bands = params.bands
         self.factors = _constants(params.band_values, 23, np.uint64) | np.uint64(1)
 
     def signatures(self, hashes: np.ndarray, heads: np.ndarray) -> np.ndarray:
@@ -195,10 +196,15 @@ def _likely_in_buckets(members: DataFrame, reps: DataFrame, params: MinHashParam
         def flush() -> pa.RecordBatch:
             ids, labels, sizes = (np.array([row[k] for row in held], np.int64) for k in ("rep", "label", "n_shingles"))
             signs = np.frombuffer(b"".join(row["signature"] for row in held), np.uint8).reshape(len(held), -1)
+            bands = np.array([row["bands"] for row in held], np.int64)
             block = np.array([row["block"] for row in held])
             crossed = last[1] != last[2]
             one, two, shares = [], [], []
-            for i in range(len(held) - 1):
+            # Members of the largest component come last: they are apart from none of their own.
+            names, number, sizes_of = np.unique(labels, return_inverse=True, return_counts=True)
+            by = np.argsort(sizes_of[number] * len(names) + number, kind="stable")
+            ids, labels, sizes, signs, bands, block = ids[by], labels[by], sizes[by], signs[by], bands[by], block[by]
+            for i in range(len(held) - int(sizes_of.max())):
                 later = np.arange(i + 1, len(held))
                 apart = labels[later] != labels[i]
                 if crossed:  # pairs within a block belong to that block's own task
@@ -206,7 +212,10 @@ def _likely_in_buckets(members: DataFrame, reps: DataFrame, params: MinHashParam
                 low, high = np.minimum(sizes[later], sizes[i]), np.maximum(sizes[later], sizes[i])
                 later = later[apart & (100 * low >= params.percent * high)]
                 share = (signs[later] == signs[i]).mean(1)
-                near = share >= params.least_estimate
+                later, share = later[share >= params.least_estimate], share[share >= params.least_estimate]
+                # A pair comes out of the first bucket that it shares only.
+                first = (bands[later] == bands[i]).argmax(1)
+                near = bands[i][first] == last[0]
                 one.append(np.full(int(near.sum()), ids[i]))
                 two.append(ids[later[near]])
                 shares.append(share[near])
@@ -230,10 +239,10 @@ def _likely_in_buckets(members: DataFrame, reps: DataFrame, params: MinHashParam
         "other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
     )
     dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    whole = dealt.join(reps.select("rep", "n_shingles", "signature"), "rep").repartition("key", "low", "high")
-    whole = whole.select("key", "low", "high", "rep", "label", "block", "n_shingles", "signature")
+    whole = dealt.join(reps.select("rep", "n_shingles", "signature", "bands"), "rep").repartition("key", "low", "high")
+    whole = whole.select("key", "low", "high", "rep", "label", "block", "n_shingles", "signature", "bands")
     found = whole.sortWithinPartitions("key", "low", "high").mapInArrow(compare, "a long, b long, estimate double")
-    return found.groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
+    return found
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, params: MinHashParams) -> DataFrame:
@@ -266,9 +275,12 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return found.select("key", "rep", F.coalesce("label", "rep").alias("label"))
 
 
-def _open_buckets(members: DataFrame) -> DataFrame:
-    """Buckets with several components: the first member of the smallest."""
-    first = F.struct("label", "rep")
+def _open_buckets(members: DataFrame, turn: int) -> DataFrame:
+    """Buckets with several components: a member of the smallest, another one in each turn.
+
+    A class has up to a bucket for each band, so a turn offers it as many partners.
+    """
+    first = F.struct("label", F.xxhash64("rep", F.lit(turn)).alias("draw"), "rep")
     ends = members.groupBy("key").agg(
         F.min(first).alias("first"), F.max("label").alias("last"), F.count(F.lit(1)).alias("n")
     )
@@ -305,7 +317,7 @@ def near_groups(
         now = _labelled(members, labels)
         if turn:
             now = written(now, "minhash-labelled")
-        open_now = _open_buckets(now)
+        open_now = _open_buckets(now, turn)
         if turn < params.star_rounds:
             met = now.join(open_now, "key").where(F.col("label") != F.col("first_label"))
             pairs = met.select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b"), "rep")
