@@ -41,7 +41,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = context.getCheckpointDir()
         if current is not None:
             return current
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="tallyguard-checkpoint-")
     if context.getCheckpointDir() is None:

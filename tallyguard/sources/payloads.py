@@ -7,19 +7,22 @@ from pyspark.sql import functions as F
 
 # Rows keep every field under its own spelling; unlike struct fields, map keys
 # tell Name and name apart. Values are the text of the JSON value.
-ROWS = "array<map<string,string>>"
+ROW = "map<string,string>"
 
 
 def payload_rows(payload: Column) -> Column:
     """The rows of a payload as an array, whichever envelope it uses.
 
-    Anything else - another shape, broken text, null - has no rows.
+    White space around the payload does not matter. Elements that are no objects
+    are null and keep their place; other shapes, broken text and null have no rows.
     """
-    is_array = F.startswith(F.ltrim(payload), F.lit("["))
-    as_array = F.from_json(payload, ROWS)
-    as_object = F.from_json(payload, f"struct<rows:{ROWS}>")
-    found = F.when(is_array, as_array).otherwise(as_object["rows"])
-    return F.coalesce(found, F.array().cast(ROWS))
+    is_array = payload.rlike(r"^[\x20\x09-\x0D]*\[")
+    as_array = F.from_json(payload, "array<string>")
+    as_object = F.from_json(payload, "struct<rows:array<string>>")["rows"]
+    elements = F.when(is_array, as_array).otherwise(as_object)
+    is_object = r"^[\x20\x09-\x0D]*\{"
+    found = F.transform(elements, lambda x: F.when(x.rlike(is_object), F.from_json(x, ROW)))
+    return F.coalesce(found, F.array().cast(f"array<{ROW}>"))
 
 
 def unwrap_rows(payloads: DataFrame, payload: str = "payload") -> DataFrame:

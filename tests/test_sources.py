@@ -107,3 +107,12 @@ def test_alert_files_are_read_back(spark, tmp_path):
     alerts = rules.large_amount(cases.transactions(spark), RuleParams())
     alerts.write.parquet(str(tmp_path / "alerts"))
     assert [a.account_id for a in read_alert_files(spark, str(tmp_path / "alerts")).collect()] == ["B1"]
+
+
+def test_payload_rows_survive_odd_elements_and_white_space(spark):
+    from tallyguard.sources.payloads import unwrap_rows
+
+    payloads = ['\n\t[{"id":1},5,{"id":"3"},null]', ' {"rows":[{"id":4},[1]]}', "no rows", None, "[]", '{"rows":5}']
+    frame = spark.createDataFrame(list(enumerate(payloads)), "i int, payload string")
+    got = sorted((r.i, r.row_index, r.row["id"]) for r in unwrap_rows(frame).collect())
+    assert got == [(0, 0, "1"), (0, 2, "3"), (1, 0, "4")]
