@@ -28,9 +28,11 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 
-#: Words that mark unwanted hosts; each counts as seen SEED_COUNT times in blocked urls.
+#: Words that mark unwanted hosts: each speaks for blocking at SEED_ODDS at least. As words of
+#: the unigram model they count as seen SEED_COUNT times more.
 SEED_WORDS = ("adult", "bet", "bonus", "casino", "cheap", "free", "jackpot", "loan", "pills", "poker", "porn", "replica", "sex", "slots", "viagra", "win", "xxx")
 SEED_COUNT = 50
+SEED_ODDS = 20.0
 
 #: Sizes of the two models; what is rarer counts as unknown.
 UNIGRAM_WORDS = 50_000
@@ -126,11 +128,12 @@ def _log_ratios(labelled: DataFrame, most: int) -> dict[str, float]:
         .limit(most)
     )
     counts = {row["token"]: [row["block"], row["allow"]] for row in top.collect()}
-    for word in SEED_WORDS:
-        counts.setdefault("h:" + word, [0, 0])[0] += SEED_COUNT
     size = len(counts) + 1
     all_block, all_allow = (sum(c[i] for c in counts.values()) + size for i in (0, 1))
-    return {t: math.log((b + 1) / all_block) - math.log((a + 1) / all_allow) for t, (b, a) in counts.items()}
+    ratios = {t: math.log((b + 1) / all_block) - math.log((a + 1) / all_allow) for t, (b, a) in counts.items()}
+    for word in SEED_WORDS:
+        ratios["h:" + word] = max(ratios.get("h:" + word, 0.0), math.log(SEED_ODDS))
+    return ratios
 
 
 def filter_urls(
