@@ -19,9 +19,9 @@ def components(links: DataFrame) -> DataFrame:
     )
     labels = written(both.groupBy("node").agg(F.least("node", F.min("other")).alias("label")), "labels")
     while True:
-        near = both.join(labels.select(F.col("node").alias("other"), "label"), "other")
-        near = near.groupBy("node").agg(F.min("label").alias("near"))
-        lower = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
+        near = both.join(labels.select(F.col("node").alias("other"), "label"), "other").select("node", "label", F.lit(False).alias("own"))
+        near = near.union(labels.select("node", "label", F.lit(True)))
+        lower = near.groupBy("node").agg(F.max(F.when(F.col("own"), F.col("label"))).alias("was"), F.min("label").alias("label"))
         # A label is a node, so its own label is at most as large.
         over = lower.select(F.col("node").alias("label"), F.col("label").alias("far"))
         jumped = lower.join(over, "label").select("node", "was", F.least("label", "far").alias("label"))

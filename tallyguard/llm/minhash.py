@@ -3,11 +3,10 @@
 Every permutation of the shingles gives two values, its smallest and its largest,
 so a signature needs half as many hash evaluations. Bands of signature values
 bring similar documents together; equal shingle sets are one class from the start.
-Within a band bucket no pairs are made at first: each class is held against one
-other of its bucket, links are confirmed on the full sets, and only classes that
-share a bucket and are still apart afterwards are compared by signature, bucket by
-bucket in one array, of which only likely links come out. All pairs pass the estimate
-from the signatures before full sets are read.
+Buckets are compared by signature inside tasks, in two passes. The first gives each
+class at most one likely partner in a bucket, so near copies come out as a tree and
+not as pairs; these links are confirmed on the full sets. The second looks at classes
+that share a bucket and are still apart, and gives all likely links between them.
 """
 
 from __future__ import annotations
@@ -37,8 +36,6 @@ class MinHashParams:
     least_estimate: float = 0.66
     #: Members of a bucket that one task compares; a larger bucket is compared in pairs of such blocks.
     block_members: int = 32_768
-    #: Rounds that hold each class against one other, before what is left is paired.
-    star_rounds: int = 2
 
 
 def _constants(n: int, seed: int, kind) -> np.ndarray:
@@ -159,34 +156,29 @@ def _full_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(sets, "rep long, set binary")
 
 
-def _estimated(pairs: DataFrame, reps: DataFrame, params: MinHashParams) -> DataFrame:
-    """Pairs (a, b) whose signatures agree often enough, with the share in ``estimate``.
+def _tree_pairs(signs: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (leader, member): the first free row leads all free ones that agree with it often enough."""
+    free, ones, twos = np.arange(len(signs)), [], []
+    while len(free) > 1:
+        lead, free = free[0], free[1:]
+        low, high = np.minimum(sizes[free], sizes[lead]), np.maximum(sizes[free], sizes[lead])
+        led = 100 * low >= percent * high
+        led[led] = 100 * (signs[free[led]] == signs[lead]).mean(1) >= percent
+        ones.append(np.full(int(led.sum()), lead))
+        twos.append(free[led])
+        free = free[~led]
+    return (np.concatenate(ones), np.concatenate(twos)) if ones else (np.zeros(0, int), np.zeros(0, int))
 
-    Bytes of a signature agree by chance once in 256, which only lets a few more pairs pass.
-    """
-    few = 100 * F.greatest("n_a", "n_b") * params.percent <= 10000 * F.least("n_a", "n_b")
-
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8) for k in (2, 3))
-            share = (one == two).reshape(batch.num_rows, -1).mean(1)
-            near = pa.array(share >= params.least_estimate)
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(share)], names=["a", "b", "estimate"]).filter(near)
 
-    def side(name: str) -> DataFrame:
-        return reps.select(F.col("rep").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("signature").alias(f"s_{name}"))
-
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").where(few)
-    return joined.select("a", "b", "s_a", "s_b").mapInArrow(agree, "a long, b long, estimate double")
+_PAIRS = "a long, b long, label_a long, label_b long"
 
 
-def _likely_in_buckets(members: DataFrame, reps: DataFrame, params: MinHashParams) -> DataFrame:
-    """Pairs (a, b) of different components in one bucket whose signatures agree often enough.
+def _likely_in_buckets(members: DataFrame, reps: DataFrame, params: MinHashParams, tree: bool) -> DataFrame:
+    """Pairs (a, b, label_a, label_b) of different components in one bucket whose signatures agree often enough.
 
     ``members`` has (key, rep, label, n): n members share the key. Signatures are compared
-    inside the task, a member against all later ones, so pairs that fail are never rows.
+    inside the task, so pairs that fail are never rows. With ``tree`` a member comes out with
+    one partner of its block at most; without, with each later one that it is apart from.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,32 +188,36 @@ def _likely_in_buckets(members: DataFrame, reps: DataFrame, params: MinHashParam
         def flush() -> pa.RecordBatch:
             ids, labels, sizes = (np.array([row[k] for row in held], np.int64) for k in ("rep", "label", "n_shingles"))
             signs = np.frombuffer(b"".join(row["signature"] for row in held), np.uint8).reshape(len(held), -1)
+            if tree:
+                one, two = _tree_pairs(signs, sizes, params.percent)
+            else:
+                one, two = apart(labels, sizes, signs)
+            swap = ids[one] > ids[two]
+            a, b = np.where(swap, two, one), np.where(swap, one, two)
+            return pa.record_batch([pa.array(x) for x in (ids[a], ids[b], labels[a], labels[b])], names=["a", "b", "label_a", "label_b"])
+
+        def apart(labels: np.ndarray, sizes: np.ndarray, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             bands = np.array([row["bands"] for row in held], np.int64)
             block = np.array([row["block"] for row in held])
             crossed = last[1] != last[2]
-            one, two, shares = [], [], []
+            ones, twos = [], []
             # Members of the largest component come last: they are apart from none of their own.
             names, number, sizes_of = np.unique(labels, return_inverse=True, return_counts=True)
             by = np.argsort(sizes_of[number] * len(names) + number, kind="stable")
-            ids, labels, sizes, signs, bands, block = ids[by], labels[by], sizes[by], signs[by], bands[by], block[by]
-            for i in range(len(held) - int(sizes_of.max())):
-                later = np.arange(i + 1, len(held))
-                apart = labels[later] != labels[i]
+            for place in range(len(held) - int(sizes_of.max())):
+                i, later = by[place], by[place + 1 :]
+                differs = labels[later] != labels[i]
                 if crossed:  # pairs within a block belong to that block's own task
-                    apart &= block[later] != block[i]
+                    differs &= block[later] != block[i]
                 low, high = np.minimum(sizes[later], sizes[i]), np.maximum(sizes[later], sizes[i])
-                later = later[apart & (100 * low >= params.percent * high)]
-                share = (signs[later] == signs[i]).mean(1)
-                later, share = later[share >= params.least_estimate], share[share >= params.least_estimate]
+                later = later[differs & (100 * low >= params.percent * high)]
+                later = later[(signs[later] == signs[i]).mean(1) >= params.least_estimate]
                 # A pair comes out of the first bucket that it shares only.
                 first = (bands[later] == bands[i]).argmax(1)
-                near = bands[i][first] == last[0]
-                one.append(np.full(int(near.sum()), ids[i]))
-                two.append(ids[later[near]])
-                shares.append(share[near])
-            one, two, shares = (np.concatenate(x) if x else np.zeros(0) for x in (one, two, shares))
-            a, b = np.minimum(one, two).astype(np.int64), np.maximum(one, two).astype(np.int64)
-            return pa.record_batch([pa.array(a), pa.array(b), pa.array(shares.astype(float))], names=["a", "b", "estimate"])
+                later = later[bands[i][first] == last[0]]
+                ones.append(np.full(len(later), i))
+                twos.append(later)
+            return (np.concatenate(ones), np.concatenate(twos)) if ones else (np.zeros(0, int), np.zeros(0, int))
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -235,58 +231,50 @@ def _likely_in_buckets(members: DataFrame, reps: DataFrame, params: MinHashParam
             yield flush()
 
     blocks = F.ceil(F.col("n") / params.block_members).cast("long")
-    dealt = members.withColumn("block", F.pmod(F.xxhash64("rep"), blocks)).withColumn(
-        "other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
-    )
+    # Other blocks for each key: members that a tree cannot join in one bucket meet in another.
+    dealt = members.withColumn("block", F.pmod(F.xxhash64("rep", "key"), blocks))
+    if tree:
+        dealt = dealt.withColumn("other", F.col("block"))
+    else:
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
     whole = dealt.join(reps.select("rep", "n_shingles", "signature", "bands"), "rep").repartition("key", "low", "high")
     whole = whole.select("key", "low", "high", "rep", "label", "block", "n_shingles", "signature", "bands")
-    found = whole.sortWithinPartitions("key", "low", "high").mapInArrow(compare, "a long, b long, estimate double")
-    return found
+    return whole.sortWithinPartitions("key", "low", "high", "rep").mapInArrow(compare, _PAIRS)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, params: MinHashParams) -> DataFrame:
-    """Pairs (a, b) that are links on their full sets."""
+    """The pairs that are links on their full sets."""
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for one, two in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for one, two in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
                 a, b = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
                 if len(a) > len(b):
                     a, b = b, a
                 at = np.searchsorted(b, a)
                 shared = int((b[np.minimum(at, len(b) - 1)] == a).sum())
                 keep.append(100 * shared >= params.percent * (len(a) + len(b) - shared))
-            yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.drop_columns(["set_a", "set_b"]).filter(pa.array(keep, pa.bool_()))
 
     def side(name: str) -> DataFrame:
         return sets.select(F.col("rep").alias(name), F.col("set").alias(f"set_{name}"))
 
-    joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    return joined.select("a", "b", "set_a", "set_b").mapInArrow(exact, "a long, b long")
-
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    return joined.select(*pairs.columns, "set_a", "set_b").mapInArrow(exact, _PAIRS)
 
-def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Bucket members (key, rep) with the component of each so far."""
-    if labels is None:
-        return members.withColumn("label", F.col("rep"))
-    found = members.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left")
-    return found.select("key", "rep", F.coalesce("label", "rep").alias("label"))
 
+def _relabelled(frame: DataFrame, labels: DataFrame, column: str) -> DataFrame:
+    """``frame`` with ``column`` replaced by its component's label where it has one."""
+    found = frame.join(labels.select(F.col("node").alias(column), F.col("label").alias("_to")), column, "left")
+    return found.withColumn(column, F.coalesce("_to", column)).drop("_to")
 
-def _open_buckets(members: DataFrame, turn: int) -> DataFrame:
-    """Buckets with several components: a member of the smallest, another one in each turn.
 
-    A class has up to a bucket for each band, so a turn offers it as many partners.
-    """
-    first = F.struct("label", F.xxhash64("rep", F.lit(turn)).alias("draw"), "rep")
-    ends = members.groupBy("key").agg(
-        F.min(first).alias("first"), F.max("label").alias("last"), F.count(F.lit(1)).alias("n")
-    )
-    return ends.where(F.col("first.label") < F.col("last")).select(
-        "key", F.col("first.label").alias("first_label"), F.col("first.rep").alias("center"), "n"
-    )
+def _open_members(members: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with the bucket's size."""
+    ends = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
+    return members.join(ends.where("low < high").select("key", "n"), "key")
 
 
 def near_groups(
@@ -310,48 +298,22 @@ def near_groups(
     )
     reps = written(reps.select("rep", "n_shingles", "of.bands", "of.signature"), "minhash-classes")
     keyed = reps.select(F.explode("bands").alias("key"), "rep")
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    members = written(keyed.join(shared, "key"), "minhash-buckets")
-    links, labels, tested, sets = None, None, None, None
-    for turn in range(params.star_rounds + 1):
-        now = _labelled(members, labels)
-        if turn:
-            now = written(now, "minhash-labelled")
-        open_now = _open_buckets(now, turn)
-        if turn < params.star_rounds:
-            met = now.join(open_now, "key").where(F.col("label") != F.col("first_label"))
-            pairs = met.select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b"), "rep")
-            pairs = pairs.distinct()
-            if tested is not None:
-                pairs = pairs.join(tested, ["a", "b"], "left_anti")
-            near = _estimated(pairs.select("a", "b").distinct(), reps, params)
-            # The likeliest partner of each class.
-            best = pairs.join(near, ["a", "b"]).groupBy("rep").agg(
-                F.max_by(F.struct("a", "b"), F.struct("estimate", -F.col("a"), -F.col("b"))).alias("pair")
-            )
-            near = best.select("pair.a", "pair.b").distinct()
-        else:
-            near = _likely_in_buckets(now.join(open_now.select("key", "n"), "key"), reps, params)
-            if tested is not None:
-                near = near.join(tested, ["a", "b"], "left_anti")
-        near = written(near.select("a", "b"), "minhash-pairs")
-        if near.isEmpty():
-            continue
-        if sets is None:
-            wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-            found = _full_sets(own.join(wanted, "doc_id", "left_semi"), params.shingle_words)
-            sets = written(found.dropDuplicates(["rep"]), "minhash-sets")
-        new = written(_confirmed(near, sets, params), "minhash-links")
-        links = new if links is None else links.union(new)
-        tested = near if tested is None else tested.union(near)
-        labels = components(links)
-    named = rows.join(classes, same_set, "left")
-    if labels is not None:
-        named = named.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left")
-    else:
-        named = named.withColumn("label", F.lit(None).cast("long"))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = written(keyed.join(shared, "key").withColumn("label", F.col("rep")), "minhash-buckets")
+    near = written(_likely_in_buckets(members, reps, params, tree=True).distinct(), "minhash-tree")
+    named = rows.join(classes, same_set, "left").withColumn("label", F.coalesce("rep", "doc_id"))
+    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
+    found = _full_sets(own.join(wanted, "doc_id", "left_semi"), params.shingle_words)
+    sets = written(found.dropDuplicates(["rep"]), "minhash-sets")
+    # Links of the second pass are between components of the first.
+    labels = components(written(_confirmed(near, sets, params), "minhash-links"))
+    now = written(_relabelled(members.drop("n"), labels, "label"), "minhash-labelled")
+    near = written(_likely_in_buckets(_open_members(now), reps, params, tree=False), "minhash-pairs")
+    between = _confirmed(near, sets, params).select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    joined = components(written(between.distinct(), "minhash-links"))
+    named = _relabelled(_relabelled(named, labels, "label"), joined, "label")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
-    component = F.when(alone, F.col("doc_id")).otherwise(F.coalesce("label", "rep"))
+    component = F.when(alone, F.col("doc_id")).otherwise(F.col("label"))
     return named.select(
         "doc_id",
         "n_shingles",
