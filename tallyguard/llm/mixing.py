@@ -5,8 +5,11 @@ Two documents with open fractions are paired, and words are moved at random
 between them until one fraction is whole; the words of the pair and every
 document's expected copies stay the same. Blocks of documents do this side by
 side, each leaves one open document, and these meet in a tree of further blocks
-until one open document a source is rounded at random. A source's words thus
-miss its target by less than one document.
+until one open document a source is rounded at random.
+
+Documents of more than 1/``LARGE_PARTS`` of their source's target go first, and what
+their rounding adds or lacks changes the rate of the others. A source's words thus
+miss its target by less than one of its smaller documents, where it has enough of these.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from tallyguard.llm.common import WORD, whole_text, written
 MOST_COPIES = 3
 BLOCK_ROWS = 512
 FAN_IN = 64
+LARGE_PARTS = 20
 #: Sources are settings of a mix, not data: their totals are laid out on the driver.
 MAX_SOURCES = 100_000
 SEED = 17
@@ -109,6 +113,20 @@ def _closed(unit: dict, level: int, final: bool) -> dict:
     return unit
 
 
+def _settled(todo: DataFrame, most: int, fan_in: int, label: str) -> list[DataFrame]:
+    """Tables of ``todo``'s units with their copies, one a level of the tree over ``most`` blocks."""
+    decided, level = [], 0
+    while most:
+        # Larger documents first, so that a small one is left open in the end.
+        placed = todo.repartition("source", "block").sortWithinPartitions("source", "block", F.desc("size"), "key", "doc_id")
+        done = written(placed.mapInArrow(_rounds(level, most == 1), todo.schema), f"{label}-{level}")
+        decided.append(done.where(F.col("copies").isNotNull()))
+        todo = done.where(F.col("copies").isNull()).withColumn("block", F.floor(F.col("block") / fan_in).cast("long"))
+        most = 0 if most == 1 else -(-most // fan_in)
+        level += 1
+    return decided
+
+
 def mix_sources(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -170,19 +188,27 @@ def mix_sources(
         "target",
         "whole",
         "open",
+        "blocks",
         F.pmod("key", F.col("blocks")).alias("block"),
         F.when(settled, F.when(wordless, F.when(F.col("whole") > 0, F.col("whole")).otherwise(least)).otherwise(F.col("whole"))).alias("copies"),
     )
-    decided = [units.where(F.col("copies").isNotNull())]
-    todo, level = units.where(F.col("copies").isNull()), 0
     most = max([p[5] for p in plan], default=0)
-    while most:
-        placed = todo.repartition("source", "block").sortWithinPartitions("source", "block", "key", "doc_id", "size")
-        done = written(placed.mapInArrow(_rounds(level, most == 1), todo.schema), f"mix-level-{level}")
-        decided.append(done.where(F.col("copies").isNotNull()))
-        todo = done.where(F.col("copies").isNull()).withColumn("block", F.floor(F.col("block") / fan_in).cast("long"))
-        most = 0 if most == 1 else -(-most // fan_in)
-        level += 1
+    large = F.col("size") * LARGE_PARTS > F.col("target")
+    open_units = units.where(F.col("copies").isNull())
+    first = _settled(open_units.where(large), most, fan_in, "mix-large")
+    taken = [part.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("_taken")) for part in first]
+    others = open_units.where(~large)
+    sums = others.groupBy("source").agg(F.sum("size").alias("_others"))
+    for i, part in enumerate(taken):
+        sums = sums.join(part.select(F.col("source").alias("_s"), F.col("_taken").alias(f"_taken_{i}")), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
+    spent = sum((F.coalesce(f"_taken_{i}", F.lit(0)) for i in range(len(taken))), F.lit(0))
+    sums = written(sums.select(F.col("source").alias("_source"), "_others", spent.alias("_spent")), "mix-rest")
+    rate = F.least(F.greatest((F.col("target") - F.col("_spent")) / F.col("_others"), F.lit(0.0)), F.lit(float(MOST_COPIES)))
+    others = others.join(sums, F.col("source").eqNullSafe(F.col("_source"))).withColumn("whole", F.floor(rate))
+    others = others.withColumn("open", rate - F.col("whole"))
+    others = others.withColumn("copies", F.when(F.col("open") == 0, F.col("whole"))).select(*units.columns)
+    decided = [units.where(F.col("copies").isNotNull()), *first, others.where(F.col("copies").isNotNull())]
+    decided += _settled(others.where(F.col("copies").isNull()), most, fan_in, "mix-level")
     found = decided[0]
     for more in decided[1:]:
         found = found.unionByName(more)
