@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyguard.params import ScaleParams
-from tallyguard.session import checkpoint_root
+from tallyguard.session import scratch_path
 
 CHUNK = "_chunk"
 COLD = -1
@@ -23,19 +23,17 @@ FIND = "find"
 
 
 def find_hot(df: DataFrame, keys: Sequence[str], scale: ScaleParams) -> DataFrame | None:
-    """Keys too large for one task, or None if there are none.
+    """Every key with more than ``scale.chunk_rows`` rows, or None if there are none.
 
-    One counting job over the key columns decides it. The list has at most
-    ``scale.max_hot_keys`` rows by its threshold, so it is safe to broadcast. It
-    only steers the work: results are the same whichever keys it names.
+    One counting job over the key columns writes the list to a small table, whose
+    size the optimizer knows: it broadcasts the list only where that is small. The
+    list steers the work only; results are the same whichever keys it names.
     """
+    spark = df.sparkSession
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    large = counts.where(F.col("_n") > scale.chunk_rows)
-    if large.isEmpty():
-        return None
-    checkpoint_root(df.sparkSession)
-    total = counts.select(F.sum("_n")).scalar()
-    hot = large.where(F.col("_n") * scale.max_hot_keys > total).select(*keys).checkpoint()
+    path = scratch_path(spark, "hot-keys")
+    counts.where(F.col("_n") > scale.chunk_rows).select(*keys).write.parquet(path)
+    hot = spark.read.schema(df.select(*keys).schema).parquet(path)
     return None if hot.isEmpty() else hot
 
 
@@ -56,7 +54,7 @@ def mark_chunks(
     """Add the chunk number: ``COLD`` for whole keys, else the run of arrival numbers."""
     if hot is None:
         return df.withColumn(CHUNK, F.lit(COLD).cast("long"))
-    flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), list(keys), "left")
+    flagged = df.join(hot.withColumn("_hot", F.lit(True)), list(keys), "left")
     number = F.when(F.col("_hot"), chunk_number(order, scale)).otherwise(F.lit(COLD))
     return flagged.withColumn(CHUNK, number.cast("long")).drop("_hot")
 
@@ -98,7 +96,7 @@ def running(
     if hot is None:
         results = {n: F.coalesce(inner[n], zero) if n in sums else inner[n] for n in names}
     else:
-        hot_rows = df.join(F.broadcast(hot), list(keys)).withColumn(
+        hot_rows = df.join(hot, list(keys)).withColumn(
             CHUNK, chunk_number(order, scale)
         )
         before = _before_chunk(hot_rows, keys, order, sums, maxima, last)

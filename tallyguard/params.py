@@ -23,11 +23,9 @@ class RuleParams:
 class ScaleParams:
     """How per-account ordered work is spread when a few accounts hold most rows.
 
-    A key is *hot* when it holds more than ``chunk_rows`` rows and more than
-    ``1 / max_hot_keys`` of all rows, so there are never more than
-    ``max_hot_keys`` hot keys, whatever the data. Hot keys are cut into runs of
-    ``chunk_rows`` consecutive arrival numbers; all other keys stay whole.
+    A key is *hot* when it holds more than ``chunk_rows`` rows. Hot keys are cut
+    into runs of ``chunk_rows`` consecutive arrival numbers; all other keys stay
+    whole, so no task holds more rows of a key than that.
     """
 
     chunk_rows: int = 5_000_000
-    max_hot_keys: int = 10_000

@@ -390,11 +390,11 @@ ORACLES: dict[str, str] = {
     "rule_spend_spike_orders": _with(ORDER_TXN, _spike_ctes("txn")) + _spike(25, "2.5"),
     "rule_geo_impossible": _with(TXN, _geo_ctes("txn")) + _GEO,
     "all_alerts": _with(TXN, _all_ctes("txn")) + "SELECT * FROM alerts",
-    "dedup_alerts": _with(TXN, _geo_ctes("txn"), f"geo AS ({_GEO})") + f"""
+    "dedup_alerts": _with(TXN, _all_ctes("txn")) + f"""
         SELECT account_id, transaction_id, rule_type, trigger_arrival, window_start_ms, n_alerts
         FROM (SELECT *, row_number() OVER w AS rn, count(*) OVER (PARTITION BY account_id,
                 rule_type, window_start_ms) AS n_alerts
-              FROM (SELECT *, alert_ms - alert_ms % {DAY} AS window_start_ms FROM geo)
+              FROM (SELECT *, alert_ms - alert_ms % {DAY} AS window_start_ms FROM alerts)
               WINDOW w AS (PARTITION BY account_id, rule_type, window_start_ms
                            ORDER BY trigger_arrival))
         WHERE rn = 1""",
@@ -420,19 +420,19 @@ ORACLES: dict[str, str] = {
         WHERE transaction_id NOT IN (SELECT transaction_id FROM led)""",
     "dedup_transactions": _APPLY + """
         SELECT transaction_id, account_id, arrival FROM outcomes WHERE status = 'DUPLICATE'""",
-    "freeze_accounts": _with(TXN, REPLAYED, ACCOUNTS, _freezes(_large("txn_all", 200))) + """
+    "freeze_accounts": _with(TXN, REPLAYED, ACCOUNTS, _all_ctes("txn_all"), _freezes("SELECT * FROM alerts")) + """
         SELECT a.account_id, holder_name, opening AS cents,
                CASE WHEN f.account_id IS NOT NULL THEN 'FROZEN' ELSE status END AS status
         FROM acc a LEFT JOIN freezes f ON f.account_id = a.account_id""",
-    "first_alerts": _with(TXN, _spike_ctes("txn"), f"spikes AS ({_spike(50, '5.0')})") + """
+    "first_alerts": _with(TXN, _all_ctes("txn")) + """
         SELECT account_id, min(trigger_arrival) AS first_arrival,
-               'SPEND_SPIKE' AS rule_type, count(*) AS n_alerts
-        FROM spikes GROUP BY account_id""",
-    "alert_rejects": _with(TXN, ACCOUNTS, f"large AS ({_large('txn', 200)})") + """
+               arg_min(rule_type, (trigger_arrival, rule_type)) AS rule_type, count(*) AS n_alerts
+        FROM alerts GROUP BY account_id""",
+    "alert_rejects": _with(TXN, ACCOUNTS, _all_ctes("txn")) + """
         SELECT account_id, transaction_id, rule_type,
                'Unknown account: ' || account_id AS error_message
-        FROM large WHERE account_id NOT IN (SELECT account_id FROM acc)""",
-    "frozen_rejects": _with(TXN, REPLAYED, ACCOUNTS, _freezes(_large("txn_all", 200))) + """
+        FROM alerts WHERE account_id NOT IN (SELECT account_id FROM acc)""",
+    "frozen_rejects": _with(TXN, REPLAYED, ACCOUNTS, _all_ctes("txn_all"), _freezes("SELECT * FROM alerts")) + """
         SELECT t.transaction_id, t.account_id, t.arrival,
                'Account frozen: ' || t.account_id || ' — ' || t.type
                  || ' rejected pending fraud review' AS error_message

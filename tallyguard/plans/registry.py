@@ -86,6 +86,12 @@ def _large_freezes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.freezes_from_alerts(alerts, derived.accounts(spark, sf_dir))
 
 
+def _all_freezes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freezes from the alerts of every rule."""
+    alerts = rules.all_alerts(_replayed(spark, sf_dir), EVENT_RULES)
+    return ledger.freezes_from_alerts(alerts, derived.accounts(spark, sf_dir))
+
+
 def _applied(spark: SparkSession, sf_dir: str, freezes: DataFrame | None = None) -> DataFrame:
     return balance.apply_transactions(
         _replayed(spark, sf_dir),
@@ -213,7 +219,7 @@ def all_alerts(spark, sf_dir):
 
 @query
 def dedup_alerts(spark, sf_dir):
-    alerts = rules.geo_impossible(derived.transactions(spark, sf_dir), EVENT_RULES)
+    alerts = rules.all_alerts(derived.transactions(spark, sf_dir), EVENT_RULES)
     return rules.dedup_alerts(alerts, EVENT_RULES).select(
         "account_id", "transaction_id", "rule_type", "trigger_arrival", "window_start_ms", "n_alerts"
     )
@@ -274,20 +280,20 @@ def dedup_transactions(spark, sf_dir):
 @query
 def freeze_accounts(spark, sf_dir):
     accounts = derived.accounts(spark, sf_dir)
-    return ledger.freeze_accounts(accounts, _large_freezes(spark, sf_dir)).select(
+    return ledger.freeze_accounts(accounts, _all_freezes(spark, sf_dir)).select(
         "account_id", "holder_name", _cents("balance"), "status"
     )
 
 
 @query
 def first_alerts(spark, sf_dir):
-    alerts = rules.spend_spike(derived.transactions(spark, sf_dir), EVENT_RULES)
+    alerts = rules.all_alerts(derived.transactions(spark, sf_dir), EVENT_RULES)
     return ledger.first_alerts(alerts)
 
 
 @query
 def alert_rejects(spark, sf_dir):
-    alerts = rules.large_amount(derived.transactions(spark, sf_dir), EVENT_RULES)
+    alerts = rules.all_alerts(derived.transactions(spark, sf_dir), EVENT_RULES)
     return ledger.alert_rejects(alerts, derived.accounts(spark, sf_dir)).select(
         "account_id", "transaction_id", "rule_type", "error_message"
     )
@@ -296,7 +302,7 @@ def alert_rejects(spark, sf_dir):
 @query
 def frozen_rejects(spark, sf_dir):
     return ledger.frozen_rejects(
-        _replayed(spark, sf_dir), derived.accounts(spark, sf_dir), _large_freezes(spark, sf_dir)
+        _replayed(spark, sf_dir), derived.accounts(spark, sf_dir), _all_freezes(spark, sf_dir)
     ).select("transaction_id", "account_id", "arrival", "error_message")
 
 

@@ -145,8 +145,8 @@ def fold(rows, opening, status, freezes, done):
     ("seed", "scale"),
     [
         (1, ScaleParams()),
-        (2, ScaleParams(chunk_rows=250, max_hot_keys=100)),
-        (3, ScaleParams(chunk_rows=90, max_hot_keys=8)),
+        (2, ScaleParams(chunk_rows=250)),
+        (3, ScaleParams(chunk_rows=90)),
     ],
 )
 def test_equals_one_by_one_application(spark, monkeypatch, seed, scale):
@@ -291,7 +291,7 @@ def test_a_constant_error_of_the_estimate_needs_no_second_fold(spark, monkeypatc
         txns_of(spark, rows),
         accounts_of(spark, [("S", "100", "ACTIVE")]),
         ledger_of(spark, []),
-        scale=ScaleParams(chunk_rows=10, max_hot_keys=100),
+        scale=ScaleParams(chunk_rows=10),
     )
     got = outcome_map(result)
     assert got[0] == ("REJECTED", "INSUFFICIENT_FUNDS", None)

@@ -30,7 +30,7 @@ def brute_force(rows):
 @pytest.mark.parametrize("chunk_rows", [10, 64, 10_000])
 def test_running_values_do_not_depend_on_chunks(skewed, chunk_rows):
     rows, df = skewed
-    scale = ScaleParams(chunk_rows=chunk_rows, max_hot_keys=50)
+    scale = ScaleParams(chunk_rows=chunk_rows)
     got = running(
         df,
         ["key"],
@@ -43,16 +43,18 @@ def test_running_values_do_not_depend_on_chunks(skewed, chunk_rows):
     assert {tuple(r)[:2] + tuple(r)[3:] for r in got.collect()} == brute_force(rows)
 
 
-def test_only_large_shares_count_as_hot(skewed):
+def test_every_large_key_counts_as_hot(skewed, spark):
     _, df = skewed
-    hot = find_hot(df, ["key"], ScaleParams(chunk_rows=100, max_hot_keys=50))
+    hot = find_hot(df, ["key"], ScaleParams(chunk_rows=100))
     assert [r.key for r in hot.collect()] == ["hot"]
     assert find_hot(df, ["key"], ScaleParams(chunk_rows=600)) is None
+    even = spark.range(9000).select((F.col("id") % 300).alias("key"))
+    assert find_hot(even, ["key"], ScaleParams(chunk_rows=29)).count() == 300
 
 
 def test_chunks_bound_the_rows_of_a_task(skewed):
     _, df = skewed
-    scale = ScaleParams(chunk_rows=50, max_hot_keys=50)
+    scale = ScaleParams(chunk_rows=50)
     got = running(df, ["key"], "n", sums={"total": F.lit(1)}, scale=scale)
     plan = got._jdf.queryExecution().toString()
     assert "hashpartitioning(key" in plan and "_chunk" in plan

@@ -8,7 +8,7 @@ from tallyguard.operators import rules
 from tallyguard.params import RuleParams, ScaleParams
 
 PARAMS = RuleParams()
-SPLIT = ScaleParams(chunk_rows=2, max_hot_keys=1_000_000)
+SPLIT = ScaleParams(chunk_rows=2)
 
 
 @pytest.fixture(scope="module")
@@ -85,4 +85,4 @@ def test_sliding_counts_do_not_depend_on_chunks(txns):
 
     busy = {(account, n) for account, _, n in counts()}
     assert ("E3", 8) in busy and ("A2", 6) in busy
-    assert counts() == counts(ScaleParams(chunk_rows=3, max_hot_keys=1000))
+    assert counts() == counts(ScaleParams(chunk_rows=3))
