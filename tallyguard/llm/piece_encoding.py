@@ -26,8 +26,8 @@ from tallyguard.llm.common import byte_slices, split_words
 from tallyguard.llm.suffix_array import SEPARATOR, suffix_array
 
 MODEL = "piece_bpe_32k.model"
-GROUP_BYTES = 6 << 20
-INDEX_BYTES = 2 << 20
+GROUP_BYTES = 2 << 20
+INDEX_BYTES = 1 << 19
 #: Distinct words that a task remembers.
 REMEMBERED = 400_000
 #: Longer words are joined with a heap instead of side by side with the others.
