@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyguard.schemas import ALERT, ALERT_WIRE, RULE_TYPES
 
 
+def _decoded() -> Column:
+    """The alert in ``value``; null where it is not JSON, names no account or no known rule."""
+    record = F.from_json(F.col("value").cast("string"), ALERT_WIRE)
+    return F.when(record["accountId"].isNotNull() & record["ruleType"].isin(RULE_TYPES), record)
+
+
+def alert_records(raw: DataFrame) -> DataFrame:
+    """Broker records of alerts with their decoded payload, null where it is unreadable.
+
+    ``unreadable_dead_letters(records, "alerts")`` takes those that ``decode_alerts`` leaves out.
+    """
+    return raw.select(
+        F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("value"),
+        "partition",
+        "offset",
+        _decoded().alias("decoded"),
+    )
+
+
 def decode_alerts(raw: DataFrame) -> DataFrame:
-    """Broker records of JSON alerts; the offset is their arrival, unreadable ones are left out.
+    """The readable ones of broker records of JSON alerts; the offset is their arrival.
 
     ``trigger_arrival`` is the alert's own offset here: a consumer of the alert
     topic learns of the alert only then.
     """
-    record = F.from_json(F.col("value").cast("string"), ALERT_WIRE)
-    decoded = raw.select("offset", record.alias("record"))
-    known = F.col("record.ruleType").isin(RULE_TYPES)
-    return decoded.where(F.col("record.accountId").isNotNull() & known).select(
+    decoded = raw.select("offset", _decoded().alias("record"))
+    return decoded.where(F.col("record").isNotNull()).select(
         F.col("record.accountId").alias("account_id"),
         F.col("record.transactionId").alias("transaction_id"),
         F.col("record.ruleType").alias("rule_type"),

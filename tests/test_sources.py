@@ -97,6 +97,21 @@ def test_alerts_travel_as_messages(spark):
     assert back[0].alert_ts is not None
 
 
+def test_unreadable_alerts_become_dead_letters(spark):
+    from tallyguard.sources.alerts import alert_records, decode_alerts
+
+    good = '{"accountId": "A1", "ruleType": "LARGE_AMOUNT"}'
+    values = [good, "no", "{}", None, '{"accountId": "A1", "ruleType": "OTHER"}', '{"ruleType": "LARGE_AMOUNT"}']
+    raw = spark.createDataFrame(
+        [("k", v, 2, n) for n, v in enumerate(values)], "key string, value string, partition int, offset long"
+    )
+    letters = unreadable_dead_letters(alert_records(raw), "alerts").collect()
+    assert {(r.dlt_topic, r.orig_partition, r.orig_offset, r.payload) for r in letters} == {
+        ("alerts.DLT", 2, n, values[n]) for n in range(1, 6)
+    }
+    assert [r.trigger_arrival for r in decode_alerts(raw).collect()] == [0]
+
+
 def test_alert_files_are_read_back(spark, tmp_path):
     import cases
 
