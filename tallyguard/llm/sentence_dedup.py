@@ -1,17 +1,20 @@
 """Substring de-duplication by sliding spans of sentences.
 
-Each run of ``span`` consecutive sentences is hashed; a hash that occurs again
-anywhere marks all its occurrences but the first, and every sentence that a
-marked run covers is removed.
+Runs of consecutive sentences are hashed; a hash that occurs again anywhere marks
+all its occurrences but the first, and every sentence that a marked run covers is
+removed. Long sentences are cut at places that only the words nearby decide, so a
+passage has the same cuts wherever it stands.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,10 +24,14 @@ from tallyguard.llm.common import whole_text, written
 
 @dataclass(frozen=True)
 class SpanParams:
-    #: Consecutive sentences in a run.
-    span: int = 3
+    #: Consecutive sentences in a run, at least: more only where these have too few words.
+    span: int = 2
     #: Runs of fewer words repeat by chance.
     min_words: int = 12
+    #: Sentences of more words are cut, once at least in each ``cut_window`` words. With these sizes
+    #: every repeated passage of over 50 words and with the same line breaks has a run whole.
+    long_words: int = 16
+    cut_window: int = 8
 
 
 #: A sentence ends behind its marks and the white space after them, or with its line.
@@ -32,40 +39,87 @@ _END = re.compile(r"[.!?]+[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def sentences(text: str) -> list[str]:
-    """The text cut behind sentence ends; joined they are the text. Each but the last has a word."""
+def _cuts(words: list[str], window: int) -> np.ndarray:
+    """Where to cut between words: at the least hash of two neighbours in each window, the last of equals."""
+    if len(words) <= window:
+        return np.zeros(0, np.int64)
+    codes = np.fromiter((zlib.crc32(f"{a} {b}".encode()) for a, b in zip(words, words[1:])), np.int64, len(words) - 1)
+    least = np.lib.stride_tricks.sliding_window_view(codes, window)[:, ::-1].argmin(axis=1)
+    return np.unique(np.arange(len(least)) + window - least)
+
+
+def sentences(text: str, params: SpanParams | None = None) -> list[str]:
+    """The text cut behind sentence ends and inside long sentences; joined they are the text. Each but the last has a word."""
+    params = params or SpanParams()
     out, start = [], 0
-    for end in _END.finditer(text):
-        if _WORD.search(text, start, end.end()):
-            out.append(text[start : end.end()])
-            start = end.end()
+    ends = [m.end() for m in _END.finditer(text)]
+    for end in [*ends, len(text)]:
+        first = _WORD.search(text, start, end)
+        if first is None:
+            continue
+        if end - start > 2 * params.long_words:
+            found = [m.span() for m in _WORD.finditer(text, first.start(), end)]
+            if len(found) > params.long_words:
+                for k in _cuts([text[i:j] for i, j in found], params.cut_window).tolist():
+                    out.append(text[start : found[k][0]])
+                    start = found[k][0]
+        out.append(text[start:end])
+        start = end
     if start < len(text):
         out.append(text[start:])
     return out
 
 
+def runs_of(sizes: list[int], params: SpanParams) -> list[tuple[int, int]]:
+    """(first sentence, sentences) of the shortest run with enough words from each start and to each end.
+
+    So they cover all of any stretch of ``span`` or more sentences with enough words. A sentence
+    with the words of two runs is one too, and so is a text of fewer sentences than ``span``.
+    ``sizes`` are the words of each sentence.
+    """
+    upto = [0]
+    for n in sizes:
+        upto.append(upto[-1] + n)
+    if len(sizes) < params.span:
+        return [(0, len(sizes))] if upto[-1] >= params.min_words else []
+    found = {(i, 1) for i, n in enumerate(sizes) if n >= 2 * params.min_words}
+    end = start = 0
+    for i in range(len(sizes)):
+        end = max(end, i + params.span)
+        while end <= len(sizes) and upto[end] - upto[i] < params.min_words:
+            end += 1
+        if end <= len(sizes):
+            found.add((i, end - i))
+        last = i + 1 - params.span
+        while start < last and upto[i + 1] - upto[start + 1] >= params.min_words:
+            start += 1
+        if start <= last and upto[i + 1] - upto[start] >= params.min_words:
+            found.add((start, i + 1 - start))
+    return sorted(found)
+
+
 def _digest(words: list[str]) -> bytes:
     return hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
 
 
 def sentence_runs(texts: DataFrame, params: SpanParams) -> DataFrame:
-    """(hash, doc, place): one row for each run of sentences with enough words."""
+    """(hash, doc, place, n): one row for each run of n sentences with enough words."""
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, docs, places = [], [], []
+            hashes, docs, places, lengths = [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = [_WORD.findall(s) for s in sentences(text)]
-                for i in range(len(words) - params.span + 1):
-                    run = [w for part in words[i : i + params.span] for w in part]
-                    if len(run) >= params.min_words:
-                        hashes.append(_digest(run))
-                        docs.append(doc)
-                        places.append(i)
-            kinds = (pa.binary(), pa.int64(), pa.int64())
-            yield pa.record_batch([pa.array(c, k) for c, k in zip((hashes, docs, places), kinds)], names=["hash", "doc", "place"])
+                words = [_WORD.findall(s) for s in sentences(text, params)]
+                for i, n in runs_of([len(part) for part in words], params):
+                    hashes.append(_digest([w for part in words[i : i + n] for w in part]))
+                    docs.append(doc)
+                    places.append(i)
+                    lengths.append(n)
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64())
+            columns = [pa.array(c, k) for c, k in zip((hashes, docs, places, lengths), kinds)]
+            yield pa.record_batch(columns, names=["hash", "doc", "place", "n"])
 
-    return texts.mapInArrow(runs, "hash binary, doc long, place long")
+    return texts.mapInArrow(runs, "hash binary, doc long, place long, n long")
 
 
 _RESULT = "doc_id long, n_sentences long, n_removed long, kept_sha256 string, kept_text string"
@@ -79,7 +133,8 @@ def remove_repeated_sentences(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_sentences, n_removed, kept_sha256, kept_text.
 
-    Null is an empty text; texts with fewer sentences than a run lose nothing. The
+    Null is an empty text; a text of one sentence is a run. Pieces of a long
+    sentence count as sentences. Repeats of under ``min_words`` words stay. The
     first occurrence has the smallest identifier, then the earliest place. Rows that
     share an identifier are one document's occurrences: the later places of either are
     removed from both. Rows without an identifier lose nothing and count for nothing.
@@ -88,16 +143,16 @@ def remove_repeated_sentences(
     params = params or SpanParams()
     own = docs.select(F.col(id_col).cast("long").alias("doc"), whole_text(text_col).alias("text"))
     found = written(sentence_runs(own.where(F.col("doc").isNotNull()), params), "sentence-runs")
-    first = found.groupBy("hash").agg(F.min(F.struct("doc", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
-    later = found.join(first.where("n > 1"), "hash").where(F.struct("doc", "place") > F.col("first"))
-    by_doc = later.groupBy("doc").agg(F.collect_set("place").alias("runs"))
+    first = found.groupBy("hash").agg(F.min(F.struct("doc", "place")).alias("first"), F.count(F.lit(1)).alias("times"))
+    later = found.join(first.where("times > 1"), "hash").where(F.struct("doc", "place") > F.col("first"))
+    by_doc = later.groupBy("doc").agg(F.collect_set(F.struct("place", "n")).alias("runs"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc, text, runs in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                parts = sentences(text)
-                gone = {p for r in runs or () for p in range(r, r + params.span)}
+                parts = sentences(text, params)
+                gone = {p for r in runs or () for p in range(r["place"], r["place"] + r["n"])}
                 kept = "".join(s for i, s in enumerate(parts) if i not in gone)
                 rows.append((doc, len(parts), len(gone & set(range(len(parts)))), hashlib.sha256(kept.encode()).hexdigest(), kept))
             columns = list(zip(*rows)) or [()] * 5

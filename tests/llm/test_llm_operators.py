@@ -131,6 +131,17 @@ def test_sentence_spans(spark, docs, empty):
     assert remove_repeated_sentences(empty).count() == 0
 
 
+def test_passages_of_few_or_long_sentences(spark):
+    two = prose(25, 31) + " " + prose(26, 32)
+    endless = prose(70, 33)[:-1]
+    lines = "".join(f"{w} {w}x\n" for w in prose(26, 34).split())
+    texts = [f"{prose(4, 41)} {two} {prose(5, 42)}", f"Own start {two} and own end.", f"so it goes {endless} on and on", f"quite other {endless} words here", "Top.\n" + lines + "End.", lines + "Tail.", prose(14, 35), prose(14, 35), two, prose(300, 36)]
+    got = {r.doc_id: r for r in remove_repeated_sentences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i].n_removed > 0 for i in range(10)] == [False, True] * 3 + [False, True, True, False]
+    assert got[7].kept_text == got[8].kept_text == ""
+    assert "Own start" in got[1].kept_text and len(got[3].kept_text.split()) < 25 and got[5].kept_text == "Tail."
+
+
 def test_secrets(docs, empty, spark):
     frame = spark.createDataFrame([(1, 'é password = "abcdefgh1" AKIAABCDEFGHIJKL ' + "0a" * 20), (2, "token: short"), (3, None)], "doc_id long, text string")
     got = {r.doc_id: r for r in scan_secrets(frame).collect()}
