@@ -217,3 +217,15 @@ def test_urls(spark):
     assert [got[i].verdict for i in range(1, 8)] == ["allow", "allow", "block", "allow", "allow", "block", "block"]
     assert (got[1].host, got[1].path, got[4].host) == ("a.com", "/x", "")
     assert filter_urls(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_url_models_keep_rare_words(spark):
+    letters = "bcdfhjlm"
+    common = ["".join(letters[i // 8**k % 8] for k in range(6)) for i in range(60_000)]
+    html = " ".join(common * 2) + " quokka garden"
+    paths = [(10 + i, "http://a.com/" + "/".join(common[i::60] * 2), None, None) for i in range(60)]
+    found = [(1, "http://quokkagarden.org/zzz/yyy", html, None), (2, "http://m.net/es/zzz/yyy", None, None), *paths]
+    got = {r.page_id: r for r in filter_urls(spark.createDataFrame(found, PAGES)).collect()}
+    assert len(got) == 62
+    assert got[1].tokens == ["h:quokka", "h:garden", "p:zzz", "p:yyy"]
+    assert (got[1].rule, got[1].verdict) == (None, "block")
