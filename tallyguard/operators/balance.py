@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyguard.functions.money import from_cents, to_cents
+from tallyguard.operators.ledger import freeze_times, is_frozen
 from tallyguard.operators.ordered import CHUNK, COLD, FIND, mark_chunks, resolve_hot
 from tallyguard.params import ScaleParams
 from tallyguard.schemas import MONEY
@@ -67,20 +68,29 @@ def apply_transactions(
 ) -> DataFrame:
     """The outcome of every transaction, and the balance after each applied one.
 
-    ``ledger`` holds the ids applied before. ``freezes`` (account_id,
-    freeze_arrival) freezes an account for arrivals after that one. Arrival is
-    unique per account.
+    ``ledger`` (account_id, transaction_id) holds the ids applied before; an id counts
+    within its account. ``freezes`` (account_id, freeze_arrival, or freeze_ts, or both)
+    freezes an account for arrivals after that one, or for records that the broker took
+    later. Arrival is unique per account. A record without an id is a copy of none.
+
+    Rows, ledger and running sums meet in one shuffle, and the result is written once as
+    a table, which the paths then read.
     """
     scale = scale or ScaleParams()
-    checkpoint_root(txns.sparkSession)
+    spark = txns.sparkSession
+    checkpoint_root(spark)
     keyed = txns.where(F.col("account_id").isNotNull())
     hot = resolve_hot(keyed, ["account_id"], scale, hot)
-    rows = _with_ledger(_narrow(keyed), ledger)
-    rows = _with_facts(rows, accounts, freezes, hot, scale)
-    running = _all_apply(rows if hot is None else rows.where(F.col(CHUNK) == COLD))
+    rows = _with_ledger(_narrow(keyed), ledger, hot, scale)
+    rows = _with_facts(rows, accounts, freezes, hot)
+    base = scratch_path(spark, "balance-running")
+    running = _all_apply(rows)
+    running.write.parquet(base)
+    running = spark.read.schema(running.schema).parquet(base)
+    cold = running if hot is None else running.where(F.col(CHUNK) == COLD)
     by_sums = F.coalesce(F.col("opening_cents") + F.col("lowest") >= 0, F.lit(True))
     decided = ~F.col("live") | by_sums
-    fast = running.where(decided).select(
+    fast = cold.where(decided).select(
         *CARRIED,
         F.when(~F.col("live"), _outright())
         .when(F.col("is_copy"), DUPLICATE)
@@ -90,7 +100,7 @@ def apply_transactions(
         (F.col("opening_cents") + F.col("moved")).alias("balance_cents"),
     )
     slow = _fold(
-        running.where(~decided)
+        cold.where(~decided)
         .withColumn("entry_cents", F.col("opening_cents"))
         .withColumn("_run", F.col(CHUNK))
         .withColumn("copied_before", F.lit(False))
@@ -102,7 +112,7 @@ def apply_transactions(
     results = [*CARRIED, "outcome", "balance_cents"]
     settled = fast.unionByName(slow.select(*results)).unionByName(nameless)
     if hot is not None:
-        hot_rows = rows.where(F.col(CHUNK) != COLD)
+        hot_rows = running.where(F.col(CHUNK) != COLD)
         outright = hot_rows.where(~F.col("live")).select(
             *CARRIED,
             _outright().alias("outcome"),
@@ -130,85 +140,106 @@ def _narrow(txns: DataFrame) -> DataFrame:
         to_cents(F.col("amount")).alias("cents"),
         "city",
         F.unix_millis("event_ts").alias("event_ms"),
+        "record_ts",
         "arrival",
         "partition",
     )
 
 
-def _with_ledger(rows: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Flag ids that an earlier run applied. AQE splits an id that repeats very often."""
-    seen = ledger.select("transaction_id").distinct().withColumn("in_ledger", F.lit(True))
-    joined = rows.join(seen, "transaction_id", "left")
-    return joined.withColumn("in_ledger", F.coalesce("in_ledger", F.lit(False)))
+def _with_ledger(
+    rows: DataFrame, ledger: DataFrame, hot: DataFrame | None, scale: ScaleParams
+) -> DataFrame:
+    """Rows with their chunk, and the ledger's ids among them as rows of their own (``from_ledger``).
+
+    They meet the others of their id in the windows of the account. A hot account has many
+    chunks, so its rows are looked up in the ledger instead, by account and id.
+    """
+    keys = ["account_id", "transaction_id"]
+    ids = ledger.select(*keys).where("account_id IS NOT NULL AND transaction_id IS NOT NULL")
+    marked = mark_chunks(rows, ["account_id"], "arrival", scale, hot)
+    yes, no = F.lit(True), F.lit(False)
+    cold = marked
+    if hot is not None:
+        cold = marked.where(F.col(CHUNK) == COLD)
+        looked_up = (
+            marked.where(F.col(CHUNK) != COLD)
+            .join(ids.distinct().withColumn("seen_before", yes), keys, "left")
+            .withColumn("seen_before", F.coalesce("seen_before", no))
+        )
+        ids = ids.join(hot, "account_id", "left_anti")
+    tagged = ids.withColumn(CHUNK, F.lit(COLD).cast("long")).withColumn("from_ledger", yes)
+    cold = cold.withColumn("from_ledger", no).unionByName(tagged, allowMissingColumns=True)
+    cold = cold.withColumn("seen_before", no)
+    if hot is None:
+        return cold
+    return cold.unionByName(looked_up.withColumn("from_ledger", no))
 
 
 def _with_facts(
-    rows: DataFrame,
-    accounts: DataFrame,
-    freezes: DataFrame | None,
-    hot: DataFrame | None,
-    scale: ScaleParams,
+    rows: DataFrame, accounts: DataFrame, freezes: DataFrame | None, hot: DataFrame | None
 ) -> DataFrame:
-    """Add chunk, opening balance and whether the account is frozen at that moment.
+    """Add the opening balance and whether the account is frozen at that moment.
 
     With hot accounts, facts are first spread to (account, chunk) pairs, a
     small table, so that the rows themselves are joined chunk by chunk, on the
-    same shuffle that later orders them. ``live`` rows may change a balance.
+    same shuffle that later orders them. ``whole`` rows may change a balance.
     """
     facts = accounts.select(
         "account_id",
         to_cents(F.col("balance")).alias("opening_cents"),
         (F.col("status") == "FROZEN").alias("frozen_at_start"),
-    )
-    if freezes is not None:
-        facts = facts.join(freezes.select("account_id", "freeze_arrival"), "account_id", "left")
-    else:
-        facts = facts.withColumn("freeze_arrival", F.lit(None).cast("long"))
+    ).join(freeze_times(freezes, accounts), "account_id", "left")
     # Placed before the join: whichever join follows, and every window after it, keeps
     # this one placement of the rows.
     if hot is None:
-        joined = (
-            rows.repartition("account_id")
-            .join(facts, "account_id", "left")
-            .withColumn(CHUNK, F.lit(COLD).cast("long"))
-        )
+        joined = rows.repartition("account_id").join(facts, "account_id", "left")
     else:
-        marked = mark_chunks(rows, ["account_id"], "arrival", scale, hot)
-        groups = marked.select(*_GROUP).distinct().join(facts, "account_id")
-        joined = marked.repartition(*_GROUP).join(groups, _GROUP, "left")
-    frozen = F.col("frozen_at_start") | F.coalesce(
-        F.col("arrival") > F.col("freeze_arrival"), F.lit(False)
-    )
+        groups = rows.select(*_GROUP).distinct().join(facts, "account_id")
+        joined = rows.repartition(*_GROUP).join(groups, _GROUP, "left")
+    frozen = is_frozen(F.col("frozen_at_start"), F.col("record_ts"))
     return (
         joined.withColumn("debit", F.col("type") != "DEPOSIT")
         .withColumn("blocked", F.coalesce(frozen & F.col("debit"), F.lit(False)))
         .withColumn(
-            "live",
-            ~F.col("in_ledger")
-            & F.col("opening_cents").isNotNull()
+            "whole",
+            F.col("opening_cents").isNotNull()
             & F.col("cents").isNotNull()
             & F.col("type").isNotNull(),
         )
-        .drop("frozen_at_start", "freeze_arrival")
+        .drop("frozen_at_start", "freeze_arrival", "freeze_ts", "record_ts")
     )
 
 
 def _all_apply(rows: DataFrame) -> DataFrame:
     """Running sums as if no debit ran short, and the lowest balance a debit leaves.
 
-    Rows that are not live move nothing.
+    Rows of the ledger only mark their id and are left out. Rows that are not live move
+    nothing. Three windows over one placement: by id, by arrival, and the whole group.
     """
     same_id = Window.partitionBy(*_GROUP, "transaction_id")
     in_order = Window.partitionBy(*_GROUP).orderBy("arrival")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    open_now = F.col("live") & ~F.col("blocked")
-    counts = open_now & (F.col("arrival") == F.col("first_open"))
+    named = F.col("transaction_id").isNotNull()
+    own = ~F.col("from_ledger")
+    might_count = F.col("whole") & ~F.col("blocked") & own
+    live = F.col("whole") & ~F.col("in_ledger")
+    first = (F.col("arrival") == F.col("first_open")) | ~named
     signed = F.when(F.col("debit"), -F.col("cents")).otherwise(F.col("cents"))
     return (
-        rows.withColumn("first_open", F.min(F.when(open_now, F.col("arrival"))).over(same_id))
-        .withColumn("repeated", F.count(F.lit(1)).over(same_id) > 1)
-        .withColumn("is_copy", F.coalesce(F.col("arrival") > F.col("first_open"), F.lit(False)))
-        .withColumn("counts", F.coalesce(counts, F.lit(False)))
+        rows.withColumns(
+            {
+                "first_open": F.min(F.when(might_count, F.col("arrival"))).over(same_id),
+                "repeated": named & (F.count(F.when(own, 1)).over(same_id) > 1),
+                "in_ledger": F.max(F.col("from_ledger") | F.col("seen_before")).over(same_id),
+            }
+        )
+        .where(own)
+        .withColumn("in_ledger", F.col("in_ledger") & named)
+        .withColumn("live", live)
+        .withColumn(
+            "is_copy", named & F.coalesce(F.col("arrival") > F.col("first_open"), F.lit(False))
+        )
+        .withColumn("counts", F.coalesce(live & ~F.col("blocked") & first, F.lit(False)))
         .withColumn("moved", F.sum(F.when(F.col("counts"), signed).otherwise(0)).over(so_far))
         .withColumn(
             "lowest",
@@ -216,6 +247,7 @@ def _all_apply(rows: DataFrame) -> DataFrame:
                 Window.partitionBy(*_GROUP)
             ),
         )
+        .drop("from_ledger", "seen_before", "whole", "first_open")
     )
 
 
@@ -271,12 +303,10 @@ def _fold_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch[_PASSED].assign(outcome=outcomes, balance_cents=balances)
 
 
-def _settle_chunks(live: DataFrame) -> DataFrame:
+def _settle_chunks(rows: DataFrame) -> DataFrame:
     """Fold the chunks of hot accounts side by side until their balances agree."""
-    spark = live.sparkSession
+    spark = rows.sparkSession
     base = scratch_path(spark, "balance-chunks")
-    _all_apply(live).write.parquet(f"{base}/rows")
-    rows = spark.read.parquet(f"{base}/rows")
 
     # Ids whose copies lie in several chunks: what earlier chunks did with them matters.
     per_chunk_ids = rows.groupBy(*_GROUP, "transaction_id").agg(
@@ -538,7 +568,10 @@ def _present(settled: DataFrame) -> DataFrame:
 def account_balances(
     accounts: DataFrame, outcomes: DataFrame, freezes: DataFrame | None = None
 ) -> DataFrame:
-    """Accounts after the run: applied amounts added up, frozen where an alert says so."""
+    """Accounts after the run: applied amounts added up, frozen where an alert says so.
+
+    ``updated_at`` is now for accounts that changed.
+    """
     cents = to_cents(F.col("amount"))
     signed = F.when(F.col("type") == "DEPOSIT", cents).otherwise(-cents)
     moved = (
@@ -548,10 +581,13 @@ def account_balances(
     )
     after = accounts.join(moved, "account_id", "left")
     if freezes is not None:
-        after = after.join(freezes.select("account_id", "freeze_arrival"), "account_id", "left")
-        status = F.when(F.col("freeze_arrival").isNotNull(), "FROZEN").otherwise(F.col("status"))
+        froze = freezes.select("account_id", F.lit(True).alias("froze"))
+        after = after.join(froze, "account_id", "left")
+        status = F.when(F.col("froze"), "FROZEN").otherwise(F.col("status"))
+        changed = F.col("n_applied").isNotNull() | F.col("froze")
     else:
         status = F.col("status")
+        changed = F.col("n_applied").isNotNull()
     total = to_cents(F.col("balance")) + F.coalesce("moved_cents", F.lit(0))
     return after.select(
         "account_id",
@@ -559,4 +595,5 @@ def account_balances(
         from_cents(total).cast(MONEY).alias("balance"),
         status.alias("status"),
         F.coalesce("n_applied", F.lit(0)).alias("n_applied"),
+        F.when(changed, F.current_timestamp()).otherwise(F.col("updated_at")).alias("updated_at"),
     )

@@ -66,10 +66,17 @@ def transaction_dead_letters(outcomes: DataFrame, topic: str = "transactions") -
 
 
 def alert_dead_letters(rejects: DataFrame, topic: str = "alerts") -> DataFrame:
-    """Alerts for unknown accounts. They carry no partition of their own in batch."""
-    placed = rejects.withColumn("partition", F.lit(None).cast("int")).withColumn(
-        "arrival", F.col("trigger_arrival")
-    )
+    """Alerts for unknown accounts, with the partition and offset of their record.
+
+    Alerts that never were in a topic have no partition, and the arrival of the
+    transaction that raised them as offset.
+    """
+    placed = rejects
+    if "partition" not in rejects.columns:
+        placed = placed.withColumn("partition", F.lit(None).cast("int"))
+    if "arrival" not in rejects.columns:
+        own = F.col("offset") if "offset" in rejects.columns else F.lit(None).cast("long")
+        placed = placed.withColumn("arrival", F.coalesce(own, F.col("trigger_arrival")))
     return _letters(
         placed, topic, F.lit(UNKNOWN), F.col("error_message"), alert_payload()
     )

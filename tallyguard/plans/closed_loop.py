@@ -41,7 +41,8 @@ def closed_loop(
     keyed = txns.where(F.col("account_id").isNotNull())
     hot = find_hot(keyed, ["account_id"], scale or ScaleParams())
     alerts = all_alerts(txns, params, scale, hot)
-    freezes = freezes_from_alerts(alerts, accounts).checkpoint()
+    # The rules name the arrival behind which to freeze, so no freeze goes by time.
+    freezes = freezes_from_alerts(alerts, accounts).drop("freeze_ts").checkpoint()
     outcomes = apply_transactions(txns, accounts, ledger, freezes, scale, hot)
     return LoopResult(alerts, freezes, outcomes, account_balances(accounts, outcomes, freezes))
 
@@ -62,9 +63,8 @@ def replay_rejects(
     """
     checkpoint_root(txns.sparkSession)
     first = apply_transactions(txns, accounts, ledger, freezes, scale).checkpoint()
-    known = ledger.select("transaction_id").unionByName(
-        ledger_rows(first).select("transaction_id")
-    )
+    keys = ["account_id", "transaction_id"]
+    known = ledger.select(*keys).unionByName(ledger_rows(first).select(*keys))
     again = replay_arrivals(transaction_dead_letters(first), shift)
     after = account_balances(accounts, first, freezes)
     outcomes = apply_transactions(again, after, known, None, scale)

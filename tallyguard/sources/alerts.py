@@ -29,20 +29,24 @@ def alert_records(raw: DataFrame) -> DataFrame:
 
 
 def decode_alerts(raw: DataFrame) -> DataFrame:
-    """The readable ones of broker records of JSON alerts; the offset is their arrival.
+    """The readable ones of broker records of JSON alerts, with their own partition and offset.
 
-    ``trigger_arrival`` is the alert's own offset here: a consumer of the alert
-    topic learns of the alert only then.
+    A record does not say at which transaction the alert was raised, and offsets of the
+    alert topic cannot be compared with those of transactions. So ``trigger_arrival`` is
+    null, and the alert freezes for records that the broker took after ``alert_ts``: the
+    time of its detection, or of its record where it has none.
     """
-    decoded = raw.select("offset", _decoded().alias("record"))
+    decoded = raw.select("partition", "offset", "timestamp", _decoded().alias("record"))
     return decoded.where(F.col("record").isNotNull()).select(
         F.col("record.accountId").alias("account_id"),
         F.col("record.transactionId").alias("transaction_id"),
         F.col("record.ruleType").alias("rule_type"),
         F.col("record.reason").alias("reason"),
         F.col("record.count").alias("count"),
-        F.col("offset").alias("trigger_arrival"),
-        F.timestamp_millis("record.detectedAt").alias("alert_ts"),
+        F.lit(None).cast("long").alias("trigger_arrival"),
+        F.coalesce(F.timestamp_millis("record.detectedAt"), "timestamp").alias("alert_ts"),
+        F.col("partition").cast("int").alias("partition"),
+        "offset",
     )
 
 

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType, TimestampType
 
-from tallyguard.params import RuleParams
+from tallyguard.operators.ordered import running
+from tallyguard.params import RuleParams, ScaleParams
+from tallyguard.schemas import TRANSACTION
+from tallyguard.session import scratch_path
+from tallyguard.streaming.tables import BATCH, BatchTables, TableSpec
 
 
 def windowed_velocity(txns: DataFrame, params: RuleParams) -> DataFrame:
@@ -29,84 +33,146 @@ def windowed_velocity(txns: DataFrame, params: RuleParams) -> DataFrame:
     )
 
 
+# --- exact counts ------------------------------------------------------------
+#
+# Stream time is one per broker partition: the highest broker time seen there, in order
+# of arrival. It decides which records are late, and is all that a partition has to be
+# looked at as a whole for. So a first step adds it to the records and writes them to a
+# table; the second one counts each window of each account on its own.
+
+_TIMED = StructType(
+    [
+        *TRANSACTION.fields,
+        StructField("stream_ms", LongType()),
+        StructField("clock", TimestampType()),
+    ]
+)
+_PARTITION_TIME = StructType(
+    [StructField("partition", IntegerType()), StructField("stream_ms", LongType())]
+)
+TIMED = {"timed": TableSpec(_TIMED), "stream_time": TableSpec(_PARTITION_TIME, ("partition",))}
+
+
+def timed_tables(spark: SparkSession, base: str) -> BatchTables:
+    return BatchTables(spark, base, TIMED)
+
+
+def write_timed(tables: BatchTables, scale: ScaleParams | None = None):
+    """A foreachBatch function: transactions with the stream time at each of them.
+
+    Within a batch it is a running maximum, in chunks where a partition holds many rows;
+    the last value of each partition is carried on in a table. Records without an account
+    do not advance it. ``clock`` is the lowest stream time of all partitions after the
+    batch: nothing that ended before it can come any more.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            rows = {"timed": add_stream_time(batch, _before(tables, batch_id), scale)}
+            # Written once: the carried times are read from these rows.
+            rows["timed"].write.mode("overwrite").parquet(f"{tables.base}/pending")
+            done = tables.spark.read.schema(rows["timed"].schema).parquet(f"{tables.base}/pending")
+            times = done.groupBy("partition").agg(F.max("stream_ms").alias("stream_ms"))
+            now = _merged(times, _before(tables, batch_id))
+            clock = now.agg(F.min("stream_ms").alias("ms")).select(F.timestamp_millis("ms").alias("clock"))
+            rows = {"timed": done.join(F.broadcast(clock)), "stream_time": now}
+            tables.write(batch_id, rows, None)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def _before(tables: BatchTables, batch_id: int) -> DataFrame:
+    """Carried times of the batches before, also when this batch is repeated."""
+    rows = tables.read("stream_time").where(F.col(BATCH) < batch_id)
+    return rows.select("partition", F.col("stream_ms").alias("carried"))
+
+
+def _merged(times: DataFrame, before: DataFrame) -> DataFrame:
+    joined = times.join(before, "partition", "full")
+    return joined.select("partition", F.greatest("stream_ms", "carried").alias("stream_ms"))
+
+
+def add_stream_time(
+    txns: DataFrame, carried: DataFrame, scale: ScaleParams | None = None
+) -> DataFrame:
+    """``txns`` with ``stream_ms``, the highest broker time of the partition up to each record."""
+    time = F.when(F.col("account_id").isNotNull(), F.unix_millis("record_ts"))
+    timed = running(
+        txns, ["partition"], "arrival", maxima={"_own": time}, include_current=True, scale=scale
+    )
+    joined = timed.join(carried, "partition", "left")
+    return joined.withColumn("stream_ms", F.greatest("_own", "carried")).select(
+        *txns.columns, "stream_ms"
+    )
+
+
 VELOCITY_OUTPUT = (
     "partition int, account_id string, window_start_ms long, count long, "
     "trigger_arrival long, event_ms long"
 )
 
 
-class ExactVelocity(StatefulProcessor):
-    """Counts per account and window with the partition's own stream time.
-
-    Keyed by partition, as stream time is one per partition: the highest broker
-    time seen there. Records whose window closed are dropped at once.
-    """
+class WindowCount(StatefulProcessor):
+    """The count of one window of one account in one partition, until it closes."""
 
     def __init__(self, params: RuleParams):
-        self.size = params.window_seconds * 1000
-        self.grace = params.grace_seconds * 1000
+        self.open_ms = (params.window_seconds + params.grace_seconds) * 1000
         self.threshold = params.count_threshold
 
     def init(self, handle) -> None:
-        time = StructType([StructField("ms", LongType()), StructField("oldest", LongType())])
-        key = StructType([StructField("start", LongType()), StructField("account", StringType())])
-        count = StructType([StructField("n", LongType())])
-        self.time = handle.getValueState("stream_time", time)
-        self.counts = handle.getMapState("counts", key, count)
+        self.handle = handle
+        self.count = handle.getValueState("count", StructType([StructField("n", LongType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self.time.get()
-        stream_ms, oldest = known if known is not None else (None, None)
-        touched: dict[tuple[int, str], int] = {}
-        for row in sorted(rows, key=lambda r: r.arrival):
-            stream_ms = row.record_ms if stream_ms is None else max(stream_ms, row.record_ms)
-            start = row.record_ms - row.record_ms % self.size
-            if start + self.size + self.grace <= stream_ms:
-                continue
-            slot = (start, row.account_id)
-            if slot not in touched:
-                stored = self.counts.getValue(slot)
-                touched[slot] = stored[0] if stored is not None else 0
-            touched[slot] += 1
-            oldest = start if oldest is None else min(oldest, start)
-            if touched[slot] > self.threshold:
+        known = self.count.get()
+        n = known[0] if known is not None else 0
+        if known is None:
+            self.handle.registerTimer(key[2] + self.open_ms)
+        # The records of one account, window and batch.
+        for arrival, event_ms in sorted((row.arrival, row.event_ms) for row in rows):
+            n += 1
+            if n > self.threshold:
                 yield Row(
                     partition=key[0],
-                    account_id=row.account_id,
-                    window_start_ms=start,
-                    count=touched[slot],
-                    trigger_arrival=row.arrival,
-                    event_ms=row.event_ms,
+                    account_id=key[1],
+                    window_start_ms=key[2],
+                    count=n,
+                    trigger_arrival=arrival,
+                    event_ms=event_ms,
                 )
-        for slot, n in touched.items():
-            self.counts.updateValue(slot, (n,))
-        if oldest is not None and oldest + self.size + self.grace <= stream_ms:
-            oldest = self._forget_closed(stream_ms)
-        if stream_ms is not None:
-            self.time.update((stream_ms, oldest))
-
-    def _forget_closed(self, stream_ms: int) -> int | None:
-        """Remove windows that can no longer count; the start of the oldest one left."""
-        still_open = None
-        for start, account in list(self.counts.keys()):
-            if start + self.size + self.grace <= stream_ms:
-                self.counts.removeKey((start, account))
-            else:
-                still_open = start if still_open is None else min(still_open, start)
-        return still_open
-
-
-def exact_velocity(txns: DataFrame, params: RuleParams) -> DataFrame:
-    """Alert rows of the velocity rule, one for every record above the threshold."""
-    slim = txns.where(F.col("account_id").isNotNull()).select(
-        "partition",
-        "account_id",
-        "arrival",
-        F.unix_millis("record_ts").alias("record_ms"),
-        F.unix_millis("event_ts").alias("event_ms"),
+        self.count.update((n,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.count.clear()
+        return iter(())
+
+
+def counted_velocity(timed: DataFrame, params: RuleParams) -> DataFrame:
+    """Alert rows of the velocity rule for a stream of timed records, one for every record above the threshold."""
+    size, grace = params.window_seconds * 1000, params.grace_seconds * 1000
+    start = F.col("record_ms") - F.pmod(F.col("record_ms"), F.lit(size))
+    slim = (
+        timed.where(F.col("account_id").isNotNull())
+        # The clock never goes back and is later than no partition, so no record counts as
+        # late by it; one millisecond keeps those of an unchanged clock.
+        .withWatermark("clock", "1 millisecond")
+        .withColumn("record_ms", F.unix_millis("record_ts"))
+        .withColumn("window_start_ms", start)
+        .where(F.col("window_start_ms") + size + grace > F.col("stream_ms"))
+        .select(
+            "partition",
+            "account_id",
+            "window_start_ms",
+            "arrival",
+            F.unix_millis("event_ts").alias("event_ms"),
+            "clock",
+        )
     )
-    counted = slim.groupBy("partition").transformWithState(
-        ExactVelocity(params), VELOCITY_OUTPUT, "Append", "None"
+    counted = slim.groupBy("partition", "account_id", "window_start_ms").transformWithState(
+        WindowCount(params), VELOCITY_OUTPUT, "Append", "EventTime"
     )
     reason = F.concat(
         F.lit("Too many transactions: "),
@@ -122,3 +188,25 @@ def exact_velocity(txns: DataFrame, params: RuleParams) -> DataFrame:
         "trigger_arrival",
         F.timestamp_millis("event_ms").alias("alert_ts"),
     )
+
+
+def read_timed(spark: SparkSession, base: str, batches_per_trigger: int = 1000) -> DataFrame:
+    """The timed records as a stream; started only while nothing writes them."""
+    reader = spark.readStream.schema(_TIMED).option("maxFilesPerTrigger", batches_per_trigger)
+    return reader.parquet(f"{base}/timed").select(*_TIMED.fieldNames())
+
+
+def time_records(txns: DataFrame, base: str, checkpoint: str, scale: ScaleParams | None = None) -> BatchTables:
+    """Add stream time to all records that a stream has now, and write them below ``base``."""
+    tables = timed_tables(txns.sparkSession, base)
+    writer = txns.writeStream.foreachBatch(write_timed(tables, scale))
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return tables
+
+
+def exact_velocity(txns: DataFrame, params: RuleParams, scale: ScaleParams | None = None) -> DataFrame:
+    """Alerts of the velocity rule: what the stream has now gets its stream time, and is a stream again."""
+    base = scratch_path(txns.sparkSession, "velocity")
+    time_records(txns, base, f"{base}/time-checkpoint", scale)
+    return counted_velocity(read_timed(txns.sparkSession, base), params)

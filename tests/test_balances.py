@@ -30,8 +30,9 @@ def accounts_of(spark, rows):
 
 
 def ledger_of(spark, ids):
+    """ids of (id, account)"""
     return spark.createDataFrame(
-        [(i, "ACC1001", "DEPOSIT", money(1), NOW) for i in ids], LEDGER
+        [(i, a, "DEPOSIT", money(1), NOW) for i, a in ids], LEDGER
     )
 
 
@@ -66,7 +67,7 @@ def test_literal_cases(spark):
             ("W", "S5", "WITHDRAW", "200", 13),
         ],
     )
-    result = balance.apply_transactions(txns, accounts, ledger_of(spark, ["OLD"]))
+    result = balance.apply_transactions(txns, accounts, ledger_of(spark, [("OLD", "S3")]))
     assert outcome_map(result) == {
         1: ("APPLIED", None, 125000),
         2: ("APPLIED", None, 70000),
@@ -116,14 +117,14 @@ def random_run(seed, n=1500):
             ident, cents = f"T{arrival}", draw.randrange(1, 9000)
         rows.append((ident, account, kind, cents, arrival))
     freezes = {"A0": int(n * 0.8), "A5": n // 3}
-    done = {r[0] for r in rows if draw.random() < 0.03}
+    done = {(r[0], r[1]) for r in rows if draw.random() < 0.03}
     return rows, opening, status, freezes, done
 
 
 def fold(rows, opening, status, freezes, done):
     balances, applied, result = dict(opening), set(), {}
     for ident, account, kind, cents, arrival in rows:
-        if ident in done or (account, ident) in applied:
+        if (ident, account) in done or (account, ident) in applied:
             outcome = ("DUPLICATE", None, None)
         elif account not in balances:
             outcome = ("REJECTED", "UNKNOWN_ACCOUNT", None)
@@ -298,3 +299,54 @@ def test_a_constant_error_of_the_estimate_needs_no_second_fold(spark, monkeypatc
     assert got[59] == ("APPLIED", None, 510000 - 58 * 100)
     # The cold path folds nothing; the first round folds all chunks, and no round follows.
     assert folds == [0, 60]
+
+
+def test_an_id_counts_within_its_account(spark):
+    """In the ledger and among the rows alike; a record without an id is a copy of none."""
+    accounts = accounts_of(spark, [("S", "0", "ACTIVE"), ("U", "0", "ACTIVE")])
+    rows = [("X", "S", "DEPOSIT", "1", 1), ("X", "U", "DEPOSIT", "2", 2), ("X", "U", "DEPOSIT", "2", 3)]
+    rows += [("L", "S", "DEPOSIT", "4", 4), ("L", "U", "DEPOSIT", "8", 5)]
+    rows += [(None, "U", "DEPOSIT", "16", 6), (None, "U", "DEPOSIT", "16", 7)]
+    for scale in (ScaleParams(), ScaleParams(chunk_rows=2)):
+        result = balance.apply_transactions(
+            txns_of(spark, rows), accounts, ledger_of(spark, [("L", "S"), (None, "U")]), scale=scale
+        )
+        got = {n: status for n, (status, _, _) in outcome_map(result).items()}
+        assert got == dict(enumerate(["APPLIED", "APPLIED", "DUPLICATE", "DUPLICATE"] + ["APPLIED"] * 3, 1))
+
+
+def test_alerts_from_a_topic_freeze_by_the_time_of_the_broker(spark):
+    accounts = accounts_of(spark, [("S", "10", "ACTIVE")])
+    alert = [("S", None, "HIGH_VELOCITY", "r", 6, None, NOW, 0, 3)]
+    alerts = spark.createDataFrame(
+        alert,
+        "account_id string, transaction_id string, rule_type string, reason string, count long, "
+        "trigger_arrival long, alert_ts timestamp, partition int, offset long",
+    )
+    freezes = ledger.freezes_from_alerts(alerts, accounts)
+    # The second record came to the broker after the alert, the third one before it.
+    later = F.when(F.col("arrival") == 2, F.expr("INTERVAL 1 SECOND")).otherwise(F.expr("INTERVAL 0 SECOND"))
+    txns = txns_of(spark, [(f"T{n}", "S", "WITHDRAW", "1", n) for n in (1, 2, 3)])
+    txns = txns.withColumn("record_ts", F.col("record_ts") + later)
+    result = outcome_map(balance.apply_transactions(txns, accounts, ledger_of(spark, []), freezes))
+    assert [result[n][0] for n in (1, 2, 3)] == ["APPLIED", "REJECTED", "APPLIED"]
+    rejects = ledger.frozen_rejects(txns, accounts, freezes).collect()
+    assert [r.transaction_id for r in rejects] == ["T2"]
+    letters = dead_letters.alert_dead_letters(ledger.alert_rejects(alerts, accounts.where("false"))).collect()
+    assert [(r.orig_partition, r.orig_offset) for r in letters] == [(0, 3)]
+
+
+def test_balances_need_one_full_shuffle_and_three_windows(spark, monkeypatch):
+    """The written running table serves every path; nothing sorts or shuffles the rows twice."""
+    written = []
+    kept = balance._all_apply
+    monkeypatch.setattr(balance, "_all_apply", lambda rows: written.append(kept(rows)) or written[-1])
+    txns = txns_of(spark, [(f"T{n}", f"S{n % 3}", "WITHDRAW", "1", n) for n in range(9)])
+    accounts = accounts_of(spark, [("S0", "10", "ACTIVE"), ("S1", "1", "ACTIVE")])
+    balance.apply_transactions(txns, accounts, ledger_of(spark, [("T1", "S1")])).count()
+    (running,) = written
+    plan = running._jdf.queryExecution().executedPlan().toString()
+    # The initial and the final plan may both be shown; one of them is counted.
+    plan = plan.split("Initial Plan")[0]
+    assert sum(line.strip(" :+-*()0123456789").startswith("Window") for line in plan.splitlines()) == 3
+    assert plan.count("REPARTITION_BY_COL") == 1

@@ -88,12 +88,19 @@ def test_alerts_travel_as_messages(spark):
     from tallyguard.sources.alerts import decode_alerts
 
     alerts = rules.large_amount(cases.transactions(spark), RuleParams())
-    messages = sinks.alert_messages(alerts).withColumn("offset", F.lit(7).cast("long"))
-    bad = spark.createDataFrame([("k", "{}", 8), ("k", "no", 9)], "key string, value string, offset long")
-    back = decode_alerts(messages.unionByName(bad)).collect()
-    assert [(a.account_id, a.rule_type, a["count"], a.trigger_arrival) for a in back] == [
-        ("B1", "LARGE_AMOUNT", 1, 7)
+    bad = spark.createDataFrame([("k", "{}"), ("k", "no")], "key string, value string")
+    records = sinks.alert_messages(alerts).unionByName(bad).select(
+        "*",
+        F.lit(1).alias("partition"),
+        F.lit(7).cast("long").alias("offset"),
+        F.current_timestamp().alias("timestamp"),
+    )
+    back = decode_alerts(records).collect()
+    assert [(a.account_id, a.rule_type, a["count"], a.partition, a.offset) for a in back] == [
+        ("B1", "LARGE_AMOUNT", 1, 1, 7)
     ]
+    # The offset is one of the alert topic, so it says nothing about transactions.
+    assert back[0].trigger_arrival is None
     assert back[0].alert_ts is not None
 
 
@@ -104,12 +111,13 @@ def test_unreadable_alerts_become_dead_letters(spark):
     values = [good, "no", "{}", None, '{"accountId": "A1", "ruleType": "OTHER"}', '{"ruleType": "LARGE_AMOUNT"}']
     raw = spark.createDataFrame(
         [("k", v, 2, n) for n, v in enumerate(values)], "key string, value string, partition int, offset long"
-    )
+    ).withColumn("timestamp", F.timestamp_millis(F.lit(5)))
     letters = unreadable_dead_letters(alert_records(raw), "alerts").collect()
     assert {(r.dlt_topic, r.orig_partition, r.orig_offset, r.payload) for r in letters} == {
         ("alerts.DLT", 2, n, values[n]) for n in range(1, 6)
     }
-    assert [r.trigger_arrival for r in decode_alerts(raw).collect()] == [0]
+    # Without a time of its own an alert counts from its record's.
+    assert [(r.offset, r.alert_ts.timestamp()) for r in decode_alerts(raw).collect()] == [(0, 0.005)]
 
 
 def test_alert_files_are_read_back(spark, tmp_path):
