@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyguard.operators.ordered import running
-from tallyguard.params import ScaleParams
+from tallyguard.session import scratch_path
 
 IN_STOCK = "IN STOCK"
 OUT_OF_STOCK = "OUT OF STOCK"
@@ -148,16 +147,28 @@ def next_state(current: DataFrame) -> DataFrame:
     return hits(current).select(alert_key().alias("alert_key")).distinct()
 
 
-def restock_transitions(results: DataFrame, scale: ScaleParams | None = None) -> DataFrame:
+def restock_transitions(results: DataFrame) -> DataFrame:
     """For a history of runs: hits that the run before did not have.
 
-    The order of the runs is worked out on their distinct numbers; the hits
-    are compared by one anti join on (run before, key).
+    One pass over the results gives the distinct hits and a mark for each run. A hit is
+    new if the last hit of its key was not in the run before.
     """
-    runs = results.select("run_id").distinct().withColumn("_all", F.lit(0))
-    previous = running(
-        runs, ["_all"], "run_id", last={"previous_run": F.col("run_id")}, scale=scale
-    ).drop("_all")
-    found = hits(results).select("run_id", *KEY).distinct()
-    seen = found.withColumnRenamed("run_id", "previous_run")
-    return found.join(previous, "run_id").join(seen, ["previous_run", *KEY], "left_anti")
+    key = F.struct(*KEY)
+    marks = F.array(F.when(F.col("status") == IN_STOCK, key), F.lit(None))
+    seen = results.select("run_id", F.explode(marks).alias("hit")).distinct()
+    # Written, so that the results are read and classified once for both uses.
+    path = scratch_path(results.sparkSession, "sweep-hits")
+    seen.write.parquet(path)
+    seen = results.sparkSession.read.schema(seen.schema).parquet(path)
+    # One row a run, whatever the runs found.
+    numbers = seen.select("run_id").distinct().withColumn(
+        "number", F.dense_rank().over(Window.orderBy("run_id"))
+    )
+    of_key = Window.partitionBy("hit").orderBy("number")
+    return (
+        seen.where(F.col("hit").isNotNull())
+        .join(numbers, "run_id")
+        .withColumn("since", F.col("number") - F.lag("number").over(of_key))
+        .where(F.coalesce(F.col("since") > 1, F.lit(True)))
+        .select("run_id", "hit.*")
+    )

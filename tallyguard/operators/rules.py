@@ -6,7 +6,7 @@ lookup. Alerts carry the arrival and event time of the record that raised them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyguard.functions.geo import city_table, haversine_km, round_half_up
@@ -403,3 +403,39 @@ def velocity_sliding(
     ).where(F.col("count") > params.count_threshold)
     moments = crowded.select("account_id", F.col("moment").alias("_ms"), "count")
     return timed.join(moments, ["account_id", "_ms"]).drop("_ms")
+
+
+def velocity_session(txns: DataFrame, params: RuleParams, gap_seconds: int) -> DataFrame:
+    """Sessions of an account, parted by more than ``gap_seconds`` without a record, above the threshold.
+
+    Records in one cell of a grid as wide as the gap are in one session, so they are added
+    up to one row per account and cell before the shuffle. Only these rows are put in
+    order: an account has at most as many as the time span has gaps, however many records
+    it has.
+    """
+    gap = gap_seconds * 1000
+    place = F.col("_ms") - F.pmod(F.col("_ms"), F.lit(gap))
+    pieces = (
+        txns.where(F.col("account_id").isNotNull() & F.col("record_ts").isNotNull())
+        .withColumn("_ms", F.unix_millis("record_ts"))
+        .groupBy("account_id", place.alias("place"))
+        .agg(
+            F.min("_ms").alias("first_ms"),
+            F.max("_ms").alias("last_ms"),
+            F.count(F.lit(1)).alias("n"),
+        )
+    )
+    in_order = Window.partitionBy("account_id").orderBy("place")
+    parted = F.col("first_ms") - F.lag("last_ms").over(in_order) > gap
+    number = F.count_if(F.coalesce(parted, F.lit(True))).over(in_order)
+    return (
+        pieces.withColumn("session", number)
+        .groupBy("account_id", "session")
+        .agg(
+            F.min("first_ms").alias("start_ms"),
+            F.max("last_ms").alias("end_ms"),
+            F.sum("n").alias("count"),
+        )
+        .where(F.col("count") > params.count_threshold)
+        .drop("session")
+    )

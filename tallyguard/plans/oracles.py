@@ -254,7 +254,6 @@ _OUTCOME_COLUMNS = """SELECT transaction_id, account_id, arrival, status, error_
   error_message, balance_after_cents"""
 _BASE = (TXN, REPLAYED, ACCOUNTS, LEDGER)
 _APPLY = _with(*_BASE, _NO_FREEZES, _walk("txn_all"), recursive=True)
-_APPLY_LARGE = _with(*_BASE, _freezes(_large("txn_all", 200)), _walk("txn_all"), recursive=True)
 _LOOP = _with(
     *_BASE,
     _all_ctes("txn_all"),
@@ -447,7 +446,7 @@ ORACLES: dict[str, str] = {
     "ledger_append": _APPLY + """
         SELECT transaction_id, account_id, type, cents, event_ms AS processed_ms
         FROM outcomes WHERE status = 'APPLIED'""",
-    "dead_letters": _APPLY_LARGE + """
+    "dead_letters": _LOOP + """
         SELECT 'transactions.DLT' AS dlt_topic, account_id AS key, 'transactions' AS orig_topic,
                part AS orig_partition, arrival AS orig_offset, error_class, error_message,
                '{"transactionId":"' || transaction_id || '","accountId":"' || account_id
@@ -455,13 +454,14 @@ ORACLES: dict[str, str] = {
                  || CASE WHEN city IS NULL THEN '' ELSE ',"city":"' || city || '"' END
                  || ',"timestamp":' || CAST(event_ms AS VARCHAR) || '}' AS payload
         FROM outcomes WHERE status = 'REJECTED'""",
-    "rejection_report": _APPLY_LARGE + """
+    "rejection_report": _LOOP + """
         SELECT error_class, account_id, count(*) AS n_rejected, min(arrival) AS first_offset,
                max(arrival) AS last_offset
         FROM outcomes WHERE status = 'REJECTED' GROUP BY error_class, account_id""",
     "replay_rejects": _with(
         *_BASE,
-        _freezes(_large("txn_all", 200)),
+        _all_ctes("txn_all"),
+        _freezes("SELECT * FROM alerts"),
         _walk("txn_all"),
         """acc2 AS (SELECT a.account_id, holder_name,
              CAST(opening + coalesce(moved, 0) AS BIGINT) AS opening,
@@ -488,9 +488,50 @@ ORACLES: dict[str, str] = {
     "stream_velocity": _with(TXN, _timed_ctes("txn")) + _velocity("on_time"),
     "stream_account_alerts": _with(TXN, _spike_ctes("txn"), _geo_ctes("txn"))
     + f"{_large('txn', 200)} UNION ALL {_spike(50, '5.0')} UNION ALL {_GEO}",
-    "stream_balances": _with(TXN, ACCOUNTS, LEDGER, _NO_FREEZES, _walk("txn"), recursive=True)
-    + _OUTCOME_COLUMNS
-    + " FROM outcomes",
+    "stream_balances": _LOOP + _OUTCOME_COLUMNS + " FROM outcomes",
+    "stream_freezes": _LOOP + f"""
+        SELECT a.account_id, CAST(opening + coalesce(moved, 0) AS BIGINT) AS cents,
+               CASE WHEN f.account_id IS NOT NULL THEN 'FROZEN' ELSE status END AS status
+        FROM acc a LEFT JOIN freezes f ON f.account_id = a.account_id
+          LEFT JOIN {_MOVED} m ON m.account_id = a.account_id""",
+    "stream_alert_rejects": _with(TXN, REPLAYED, ACCOUNTS, _all_ctes("txn_all")) + """
+        SELECT 'alerts.DLT' AS dlt_topic, account_id AS key, 'alerts' AS orig_topic,
+               trigger_arrival AS orig_offset, 'UNKNOWN_ACCOUNT' AS error_class,
+               'Unknown account: ' || account_id AS error_message
+        FROM alerts WHERE account_id NOT IN (SELECT account_id FROM acc)""",
+    "stream_dedup_alerts": _with(TXN, _all_ctes("txn")) + f"""
+        SELECT account_id, transaction_id, rule_type, trigger_arrival, window_start_ms
+        FROM (SELECT *, row_number() OVER (PARTITION BY account_id, rule_type, window_start_ms
+                                           ORDER BY trigger_arrival) AS rn
+              FROM (SELECT *, alert_ms - alert_ms % {DAY} AS window_start_ms FROM alerts))
+        WHERE rn = 1""",
+    "stream_flagship": _LOOP + _OUTCOME_COLUMNS + " FROM outcomes",
+    "stream_dead_letters": _LOOP + """
+        SELECT 'transactions.DLT' AS dlt_topic, account_id AS key, arrival AS orig_offset,
+               error_class, error_message
+        FROM outcomes WHERE status = 'REJECTED'
+        UNION ALL
+        SELECT 'alerts.DLT', account_id, trigger_arrival, 'UNKNOWN_ACCOUNT',
+               'Unknown account: ' || account_id
+        FROM alerts WHERE account_id NOT IN (SELECT account_id FROM acc)""",
+    "velocity_session": _with(TXN) + """
+        SELECT account_id, min(record_ms) AS start_ms, max(record_ms) AS end_ms, count(*) AS n
+        FROM (SELECT *, sum(CASE WHEN record_ms - before <= 21600000 THEN 0 ELSE 1 END) OVER (
+                PARTITION BY account_id ORDER BY record_ms, arrival) AS session
+              FROM (SELECT *, lag(record_ms) OVER (PARTITION BY account_id
+                      ORDER BY record_ms, arrival) AS before FROM txn))
+        GROUP BY account_id, session HAVING count(*) > 5""",
+    "paged_index": """
+        SELECT id, name, category, page FROM (
+          SELECT p_partkey AS id, p_name AS name, p_type AS category,
+                 (row_number() OVER (ORDER BY p_name, p_partkey) - 1) // 50 + 1 AS page,
+                 (count(*) OVER () - 1) // 50 + 1 AS last_page FROM part)
+        WHERE page = 3 OR page = last_page""",
+    "paged_seek": """
+        SELECT p_partkey AS id, p_name AS name, p_type AS category
+        FROM part, (SELECT p_name AS n, p_partkey AS k FROM part ORDER BY p_partkey DESC LIMIT 1)
+        WHERE p_name < n OR (p_name = n AND p_partkey > k)
+        ORDER BY p_name DESC, p_partkey LIMIT 50""",
     "products_by_category": """
         SELECT p_partkey AS id, p_name AS name, p_type AS category,
                CAST(round(p_retailprice * 100) AS BIGINT) AS cents

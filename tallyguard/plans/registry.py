@@ -15,10 +15,22 @@ from tallyguard.operators import balance, catalog, dead_letters, designs, ledger
 from tallyguard.operators import requests as reqs
 from tallyguard.params import RuleParams
 from tallyguard.plans import closed_loop, derived
+from tallyguard.schemas import ALERT
+from tallyguard.session import scratch_path
+from tallyguard.sources.alerts import read_alert_files
 from tallyguard.sources.payloads import unwrap_rows
 from tallyguard.streaming.account_rules import account_alerts
-from tallyguard.streaming.balances import stream_outcomes
-from tallyguard.streaming.run import drain
+from tallyguard.streaming.alerts import dedup_alert_stream
+from tallyguard.streaming.balances import (
+    alert_letter_rows,
+    current_balances,
+    outcome_rows,
+    settle,
+    settlement_tables,
+    write_settlement,
+)
+from tallyguard.streaming.loop import StreamingLoop, as_records
+from tallyguard.streaming.run import drain, start_drain
 from tallyguard.streaming.velocity import exact_velocity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,12 +92,6 @@ def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.with_replays(derived.transactions(spark, sf_dir))
 
 
-def _large_freezes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Freezes from the large-amount rule alone, which leaves most accounts active."""
-    alerts = rules.large_amount(_replayed(spark, sf_dir), EVENT_RULES)
-    return ledger.freezes_from_alerts(alerts, derived.accounts(spark, sf_dir))
-
-
 def _all_freezes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Freezes from the alerts of every rule."""
     alerts = rules.all_alerts(_replayed(spark, sf_dir), EVENT_RULES)
@@ -250,6 +256,15 @@ def velocity_sliding(spark, sf_dir):
     )
 
 
+@query
+def velocity_session(spark, sf_dir):
+    """Sessions without a pause of more than six hours that hold more than the threshold."""
+    txns = derived.transactions(spark, sf_dir)
+    return rules.velocity_session(txns, EVENT_RULES, gap_seconds=21_600).select(
+        "account_id", "start_ms", "end_ms", F.col("count").alias("n")
+    )
+
+
 # --- accounts and balances ---------------------------------------------------
 
 
@@ -332,7 +347,7 @@ def ledger_append(spark, sf_dir):
 @query
 def dead_letters_all(spark, sf_dir):
     """Refused transactions in their dead-letter form."""
-    outcomes = _applied(spark, sf_dir, _large_freezes(spark, sf_dir))
+    outcomes = _applied(spark, sf_dir, _all_freezes(spark, sf_dir))
     return dead_letters.transaction_dead_letters(outcomes).select(
         "dlt_topic",
         "key",
@@ -350,7 +365,7 @@ QUERIES["dead_letters"] = QUERIES.pop("dead_letters_all")
 
 @query
 def rejection_report(spark, sf_dir):
-    outcomes = _applied(spark, sf_dir, _large_freezes(spark, sf_dir))
+    outcomes = _applied(spark, sf_dir, _all_freezes(spark, sf_dir))
     return dead_letters.rejection_report(dead_letters.transaction_dead_letters(outcomes))
 
 
@@ -362,7 +377,7 @@ def replay_rejects(spark, sf_dir):
             _replayed(spark, sf_dir),
             derived.accounts(spark, sf_dir),
             derived.ledger(spark, sf_dir),
-            _large_freezes(spark, sf_dir),
+            _all_freezes(spark, sf_dir),
             shift=REPLAY_SHIFT,
         )
     )
@@ -414,18 +429,105 @@ def stream_account_alerts(spark, sf_dir):
     return _alerts(drain(account_alerts(stream, EVENT_RULES), "stream-alerts"))
 
 
+def _written_alerts(spark, sf_dir, txns):
+    """The alerts of all rules as a stream over a durable table."""
+    path = scratch_path(spark, "alerts")
+    alerts = rules.all_alerts(txns, EVENT_RULES).select(*ALERT.fieldNames())
+    alerts.write.parquet(path)
+    return read_alert_files(spark, path, streaming=True)
+
+
+def _settled(spark, sf_dir):
+    """Repeated transactions and the alerts of all rules, settled on a stream."""
+    return settle(
+        derived.with_replays(derived.transaction_stream(spark, sf_dir)),
+        derived.accounts(spark, sf_dir),
+        derived.ledger(spark, sf_dir),
+        _written_alerts(spark, sf_dir, _replayed(spark, sf_dir)),
+    )
+
+
 @query
 def stream_balances(spark, sf_dir):
-    stream = derived.transaction_stream(spark, sf_dir)
-    outcomes = stream_outcomes(
-        stream, derived.accounts(spark, sf_dir), derived.ledger(spark, sf_dir)
+    return _outcomes(drain(outcome_rows(_settled(spark, sf_dir)), "stream-balances"))
+
+
+@query
+def stream_freezes(spark, sf_dir):
+    """The last state of every account that changed, frozen ones without a transaction too."""
+    base = scratch_path(spark, "stream-freezes")
+    tables = settlement_tables(spark, base)
+    start_drain(_settled(spark, sf_dir), f"{base}/checkpoint", write_settlement(tables))
+    now = current_balances(derived.accounts(spark, sf_dir), tables.read("balances"))
+    return now.select("account_id", _cents("balance"), "status")
+
+
+@query
+def stream_alert_rejects(spark, sf_dir):
+    """Alerts for unknown accounts, dead-lettered by the operator that freezes the others."""
+    letters = alert_letter_rows(_settled(spark, sf_dir))
+    return drain(letters, "stream-alert-letters").select(
+        "dlt_topic", "key", "orig_topic", "orig_offset", "error_class", "error_message"
+    )
+
+
+@query
+def stream_dedup_alerts(spark, sf_dir):
+    alerts = _written_alerts(spark, sf_dir, derived.transactions(spark, sf_dir))
+    return drain(dedup_alert_stream(alerts, EVENT_RULES), "stream-dedup").select(
+        "account_id", "transaction_id", "rule_type", "trigger_arrival", "window_start_ms"
+    )
+
+
+def _streaming_loop(spark, sf_dir):
+    txns = derived.with_replays(derived.transaction_stream(spark, sf_dir))
+    loop = StreamingLoop(
+        as_records(txns),
+        derived.accounts(spark, sf_dir),
+        derived.ledger(spark, sf_dir),
+        EVENT_RULES,
+        scratch_path(spark, "stream-loop"),
+    )
+    loop.cycle()
+    return loop
+
+
+@query
+def stream_flagship(spark, sf_dir):
+    """The closed loop on streams: decode, rules, alerts, freezes and settlement."""
+    return _outcomes(_streaming_loop(spark, sf_dir).settled.read("outcomes"))
+
+
+@query
+def stream_dead_letters(spark, sf_dir):
+    """The letters of the streaming loop: refused transactions, and alerts without an account."""
+    return _streaming_loop(spark, sf_dir).dead_letters().select(
+        "dlt_topic", "key", "orig_offset", "error_class", "error_message"
     )
-    return _outcomes(drain(outcomes, "stream-balances"))
 
 
 # --- products ----------------------------------------------------------------
 
 
+@query
+def paged_index(spark, sf_dir):
+    """The third and the last page of the products by name, out of the written order."""
+    rows = derived.products(spark, sf_dir).select("id", "name", "category")
+    index = catalog.PageIndex(rows, "name", "id", scratch_path(spark, "page-index"))
+    last = -(-index.total // 50)
+    pages = index.page(3, 50).withColumn("page", F.lit(3).cast("long"))
+    return pages.unionByName(index.page(last, 50).withColumn("page", F.lit(last).cast("long")))
+
+
+@query
+def paged_seek(spark, sf_dir):
+    """The page behind the product with the highest number, by falling name."""
+    rows = derived.products(spark, sf_dir).select("id", "name", "category")
+    last = rows.orderBy(F.desc("id")).limit(1).select("name", "id").first()
+    return catalog.page_after(rows, "name", "id", tuple(last) if last else None, 50, ascending=False)
+
+
+
 @query
 def products_by_category(spark, sf_dir):
     return catalog.products_by_category(derived.products(spark, sf_dir), "pRoMo").select(

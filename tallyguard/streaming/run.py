@@ -22,3 +22,10 @@ def drain(stream: DataFrame, label: str) -> DataFrame:
     )
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
+
+
+def start_drain(stream: DataFrame, checkpoint: str, write) -> None:
+    """Process everything available through a foreachBatch function."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()

@@ -1,7 +1,6 @@
 import pytest
 
 from tallyguard.operators import availability as av
-from tallyguard.params import ScaleParams
 from tallyguard.schemas import AVAILABILITY_RESPONSE
 from tallyguard.sources.sinks import read_alert_state, write_alert_state, write_report
 
@@ -72,9 +71,8 @@ def test_totals(history):
     assert got == {10: (4, 3, 0), 20: (4, 1, 1), 35: (4, 3, 0)}
 
 
-@pytest.mark.parametrize("scale", [ScaleParams(), ScaleParams(chunk_rows=1)])
-def test_transitions_over_the_whole_history(history, scale):
-    got = {(r.run_id, r.pincode) for r in av.restock_transitions(history, scale).collect()}
+def test_transitions_over_the_whole_history(history):
+    got = {(r.run_id, r.pincode) for r in av.restock_transitions(history).collect()}
     assert got == {
         (10, "always"),
         (10, "returns"),

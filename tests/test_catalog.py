@@ -57,3 +57,32 @@ def test_pages(products):
     assert ids(page=2, page_rows=3) == [4]
     assert ids(page=1, page_rows=2, ascending=False) == [4, 3]
     assert ids(page=3, page_rows=3) == []
+
+
+def listing(spark, n=137):
+    rows = [(k, None if k % 40 == 7 else f"name {k * 7 % 31}", k) for k in range(n)]
+    return spark.createDataFrame(rows, "id int, name string, _n int").repartition(3)
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+def test_pages_by_index_and_by_key_are_the_offset_pages(spark, tmp_path, ascending):
+    rows = listing(spark)
+    index = catalog.PageIndex(rows, "name", "id", str(tmp_path / "index"), ascending)
+    last, n = None, 0
+    for page in range(1, 16):
+        want = catalog.paged_listing(rows, "name", "id", page, 10, ascending).collect()
+        assert index.page(page, 10).collect() == want
+        got = catalog.page_after(rows, "name", "id", last, 10, ascending).collect()
+        assert got == want
+        n += len(got)
+        last = (got[-1].name, got[-1].id) if got else last
+    assert n == index.total == 137
+
+
+def test_a_page_reads_only_the_ranges_it_touches(spark, tmp_path):
+    index = catalog.PageIndex(listing(spark), "name", "id", str(tmp_path / "index"))
+    assert len(index.ranges) > 1
+    plan = index.page(1, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_range" in plan and index.page(99, 5).count() == 0
+    empty = catalog.PageIndex(listing(spark).limit(0), "name", "id", str(tmp_path / "none"))
+    assert empty.total == 0 and empty.page(1, 5).count() == 0

@@ -1,3 +1,5 @@
+from datetime import timedelta
+
 from collections import Counter
 
 import cases
@@ -5,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyguard.operators import rules
+from tallyguard.schemas import TRANSACTION
 from tallyguard.params import RuleParams, ScaleParams
 
 PARAMS = RuleParams()
@@ -86,3 +89,21 @@ def test_sliding_counts_do_not_depend_on_chunks(txns):
     busy = {(account, n) for account, _, n in counts()}
     assert ("E3", 8) in busy and ("A2", 6) in busy
     assert counts() == counts(ScaleParams(chunk_rows=3))
+
+
+def test_sessions_end_after_a_pause_longer_than_the_gap(spark):
+    """The gap itself still joins; a pause within a grid cell of that width never parts."""
+    seconds = [0, 60, 119, 180, 241, 300, -61, -30, 1000]
+    rows = [
+        (f"T{n}", "S" if n < 9 else None, "DEPOSIT", None, None, at, at, n, 0)
+        for n, at in enumerate(cases.BASE + timedelta(seconds=s) for s in [*seconds, 5])
+    ]
+    txns = spark.createDataFrame(rows, TRANSACTION)
+    got = rules.velocity_session(txns, RuleParams(count_threshold=0), gap_seconds=60)
+    start = int(cases.BASE.timestamp())
+    assert sorted((r.start_ms // 1000 - start, r.end_ms // 1000 - start, r["count"]) for r in got.collect()) == [
+        (-61, 119, 5),
+        (180, 180, 1),
+        (241, 300, 2),
+        (1000, 1000, 1),
+    ]

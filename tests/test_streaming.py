@@ -10,7 +10,13 @@ from tallyguard.plans import derived
 from tallyguard.sources.sinks import start_alert_sink
 from tallyguard.sources.transactions import read_files
 from tallyguard.streaming.account_rules import account_alerts
-from tallyguard.streaming.balances import current_balances, stream_outcomes, write_settlement
+from tallyguard.streaming.balances import (
+    current_balances,
+    settle,
+    settlement_tables,
+    stream_outcomes,
+    write_settlement,
+)
 from tallyguard.streaming.velocity import exact_velocity, windowed_velocity
 
 PARAMS = RuleParams()
@@ -102,9 +108,10 @@ def test_balances_restart_from_the_checkpoint(spark, tmp_path):
     half = txns.where("arrival < 1000")
     for part in (half, txns.where("arrival >= 1000")):
         write_files(part, source, 2)
-        outcomes = stream_outcomes(stream_of(spark, source), accounts, ledger)
+        outcomes = settle(stream_of(spark, source), accounts, ledger)
+        tables = settlement_tables(spark, base)
         query = (
-            outcomes.writeStream.foreachBatch(write_settlement(base))
+            outcomes.writeStream.foreachBatch(write_settlement(tables))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start()
@@ -114,15 +121,15 @@ def test_balances_restart_from_the_checkpoint(spark, tmp_path):
 
     batch = balance.apply_transactions(txns, accounts, ledger).cache()
     applied = batch.where("status = 'APPLIED'").select("transaction_id", "account_id", "amount")
-    written = spark.read.parquet(f"{base}/ledger").select("transaction_id", "account_id", "amount")
+    written = tables.read("ledger").select("transaction_id", "account_id", "amount")
     assert written.exceptAll(applied).isEmpty() and applied.exceptAll(written).isEmpty()
 
-    letters = spark.read.parquet(f"{base}/dead_letters")
+    letters = tables.read("dead_letters")
     assert letters.count() == batch.where("status = 'REJECTED'").count()
     commits = spark.read.parquet(f"{base}/commits")
     assert commits.agg(F.sum("n_records")).first()[0] == txns.count()
 
-    now = current_balances(accounts, spark.read.parquet(f"{base}/balances"))
+    now = current_balances(accounts, tables.read("balances"))
     then = balance.account_balances(accounts, batch)
     columns = ["account_id", "balance", "status"]
     assert now.select(columns).exceptAll(then.select(columns)).isEmpty()
@@ -131,17 +138,13 @@ def test_balances_restart_from_the_checkpoint(spark, tmp_path):
 def test_settlement_of_a_repeated_batch_leaves_one_copy(spark, tmp_path):
     txns = derived.transactions(spark, SMALL)
     accounts, ledger = derived.accounts(spark, SMALL), derived.ledger(spark, SMALL)
-    outcomes = (
-        balance.apply_transactions(txns, accounts, ledger)
-        .withColumn("balance_now_cents", F.col("balance_after_cents"))
-        .withColumn("frozen", F.lit(False))
-        .cache()
-    )
-    write = write_settlement(str(tmp_path))
+    write_files(txns, str(tmp_path / "in"), 1)
+    tagged = run(settle(stream_of(spark, str(tmp_path / "in")), accounts, ledger), str(tmp_path / "run")).cache()
+    tables = settlement_tables(spark, str(tmp_path / "settled"))
     for _ in range(2):
-        write(outcomes, 0)
-    written = spark.read.parquet(f"{tmp_path}/ledger").count()
-    assert written == outcomes.where("status = 'APPLIED'").count()
+        write_settlement(tables)(tagged, 0)
+    applied = balance.apply_transactions(txns, accounts, ledger).where("status = 'APPLIED'").count()
+    assert tables.read("ledger").count() == applied > 0
 
 
 def test_streamed_alerts_freeze_later_debits(spark, tmp_path):
