@@ -61,15 +61,23 @@ class PageIndex:
     """A listing in order, written once in ranges, with the number of rows before each range.
 
     A page is cut out of the ranges that it touches, so its work does not grow with its
-    number. ``path`` is a new folder that every executor reaches.
+    number. ``path`` is a new folder that every executor reaches. Without ``ranges`` Spark
+    chooses how many there are by their size.
     """
 
     def __init__(
-        self, rows: DataFrame, sort_by: str, tie_break: str, path: str, ascending: bool = True
+        self,
+        rows: DataFrame,
+        sort_by: str,
+        tie_break: str,
+        path: str,
+        ascending: bool = True,
+        ranges: int | None = None,
     ):
         first = F.asc(sort_by) if ascending else F.desc(sort_by)
         self.order = [first, F.asc(tie_break)]
-        placed = rows.repartitionByRange(*self.order).sortWithinPartitions(*self.order)
+        number = [] if ranges is None else [ranges]
+        placed = rows.repartitionByRange(*number, *self.order).sortWithinPartitions(*self.order)
         placed.withColumn(_RANGE, F.spark_partition_id()).write.partitionBy(_RANGE).parquet(path)
         schema = StructType([*rows.schema.fields]).add(_RANGE, IntegerType())
         self.rows = rows.sparkSession.read.schema(schema).parquet(path)

@@ -67,7 +67,7 @@ def listing(spark, n=137):
 @pytest.mark.parametrize("ascending", [True, False])
 def test_pages_by_index_and_by_key_are_the_offset_pages(spark, tmp_path, ascending):
     rows = listing(spark)
-    index = catalog.PageIndex(rows, "name", "id", str(tmp_path / "index"), ascending)
+    index = catalog.PageIndex(rows, "name", "id", str(tmp_path / "index"), ascending, ranges=7)
     last, n = None, 0
     for page in range(1, 16):
         want = catalog.paged_listing(rows, "name", "id", page, 10, ascending).collect()
@@ -80,7 +80,7 @@ def test_pages_by_index_and_by_key_are_the_offset_pages(spark, tmp_path, ascendi
 
 
 def test_a_page_reads_only_the_ranges_it_touches(spark, tmp_path):
-    index = catalog.PageIndex(listing(spark), "name", "id", str(tmp_path / "index"))
+    index = catalog.PageIndex(listing(spark), "name", "id", str(tmp_path / "index"), ranges=4)
     assert len(index.ranges) > 1
     plan = index.page(1, 5)._jdf.queryExecution().optimizedPlan().toString()
     assert "_range" in plan and index.page(99, 5).count() == 0
