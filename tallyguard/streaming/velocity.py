@@ -75,8 +75,9 @@ def write_timed(tables: BatchTables, scale: ScaleParams | None = None):
             done = tables.spark.read.schema(rows["timed"].schema).parquet(f"{tables.base}/pending")
             times = done.groupBy("partition").agg(F.max("stream_ms").alias("stream_ms"))
             now = _merged(times, _before(tables, batch_id))
-            clock = now.agg(F.min("stream_ms").alias("ms")).select(F.timestamp_millis("ms").alias("clock"))
-            rows = {"timed": done.join(F.broadcast(clock)), "stream_time": now}
+            clock = now.agg(F.min("stream_ms")).first()[0]
+            timed = done.withColumn("clock", F.timestamp_millis(F.lit(clock).cast("long")))
+            rows = {"timed": timed, "stream_time": now}
             tables.write(batch_id, rows, None)
         finally:
             batch.unpersist()
