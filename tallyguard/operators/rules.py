@@ -127,6 +127,7 @@ def high_velocity(
         hot=find_hot(windowed, keys, scale),
         scale=scale,
     ).where(F.col("n") > params.count_threshold)
+    # Fixed value: the wording of this alert.
     reason = F.concat(
         F.lit("Too many transactions: "),
         F.col("n").cast("string"),
@@ -145,6 +146,7 @@ def _is_large(params: RuleParams) -> Column:
 
 
 def _large_reason(params: RuleParams) -> Column:
+    # Fixed value: the wording of this alert.
     return F.concat(
         F.lit("Large transaction: "),
         F.col("amount").cast("string"),
@@ -184,6 +186,7 @@ def _is_spike(params: RuleParams) -> Column:
 
 
 def _spike_reason(params: RuleParams) -> Column:
+    # Fixed value: the wording of this alert.
     return F.concat(
         F.lit("Spike: "),
         F.col("amount").cast("string"),
@@ -248,6 +251,7 @@ def _with_trip(located: DataFrame) -> DataFrame:
 
 
 def _travel_reason() -> Column:
+    # Fixed value: the wording of this alert.
     return F.concat(
         F.lit("Impossible travel: "),
         F.col("previous.city"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyguard.functions.geo import CITIES
 from tallyguard.schemas import MONEY
 
+FILES_PER_BATCH = 200
 UNKNOWN_CITIES = ["gotham", "atlantis", "el dorado"]
 
 
@@ -60,10 +61,12 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def transaction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same transactions as a stream over the file or files of the events table.
 
-    A file source takes a single file only by pattern, hence the brackets.
+    A file source takes a single file only by pattern, hence the brackets. The limit bounds
+    a batch where the table has many files, and with it the rows of one account in a task.
     """
     schema = table(spark, sf_dir, "events").schema
-    return event_transactions(spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet"))
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
+    return event_transactions(reader.parquet(f"{sf_dir}/event[s].parquet"))
 
 
 def with_replays(txns: DataFrame) -> DataFrame:

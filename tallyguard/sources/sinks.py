@@ -22,13 +22,20 @@ def alert_messages(alerts: DataFrame) -> DataFrame:
     )
 
 
-def start_topic_sink(messages: DataFrame, servers: str, topic: str, checkpoint: str):
+#: How often a stream that runs on commits, unless its caller says otherwise.
+COMMIT_INTERVAL = "1 second"
+
+
+def start_topic_sink(
+    messages: DataFrame, servers: str, topic: str, checkpoint: str, interval: str = COMMIT_INTERVAL
+):
     """Write a stream of key and value to a topic; needs the Kafka connector."""
     return (
         messages.writeStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)
         .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=interval)
         .start()
     )
 
@@ -62,8 +69,17 @@ def publish_to_files(txns: DataFrame, path: str, fmt: str = "parquet") -> None:
     )
 
 
-def start_alert_sink(alerts: DataFrame, path: str, checkpoint: str, once: bool = False):
-    """Write an alert stream to files exactly once; the sink stamps the detection time."""
+def start_alert_sink(
+    alerts: DataFrame,
+    path: str,
+    checkpoint: str,
+    once: bool = False,
+    interval: str = COMMIT_INTERVAL,
+):
+    """Write an alert stream to files exactly once; the sink stamps the detection time.
+
+    It commits every ``interval``, or with ``once`` takes what is there and ends.
+    """
     writer = (
         alerts.withColumn("detected_at", F.current_timestamp())
         .writeStream.format("parquet")
@@ -71,7 +87,8 @@ def start_alert_sink(alerts: DataFrame, path: str, checkpoint: str, once: bool =
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    cadence = {"availableNow": True} if once else {"processingTime": interval}
+    return writer.trigger(**cadence).start()
 
 
 def write_report(results: DataFrame, path: str) -> None:

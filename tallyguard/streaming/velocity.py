@@ -76,7 +76,12 @@ def write_timed(tables: BatchTables, scale: ScaleParams | None = None):
             times = done.groupBy("partition").agg(F.max("stream_ms").alias("stream_ms"))
             now = _merged(times, _before(tables, batch_id))
             clock = now.agg(F.min("stream_ms")).first()[0]
-            timed = done.withColumn("clock", F.timestamp_millis(F.lit(clock).cast("long")))
+            # An account's rows of a batch share a file, so readers that take a batch in several
+            # steps, oldest files first, still meet every account's rows in order.
+            spread = F.coalesce("account_id", F.concat(F.lit("-"), F.col("arrival") % 997))
+            timed = done.repartition(spread).withColumn(
+                "clock", F.timestamp_millis(F.lit(clock).cast("long"))
+            )
             rows = {"timed": timed, "stream_time": now}
             tables.write(batch_id, rows, None)
         finally:
