@@ -66,6 +66,9 @@ class PieceModel:
         for row, piece in zip(padded, pieces):
             row[: len(piece)] = np.frombuffer(piece, np.uint8)
         self.words = padded.view(">u8").astype(np.uint64)
+        # Codes of the first two bytes of all texts that begin with a piece.
+        self.head = padded[:, 0].astype(np.int64) * 256 + padded[:, 1]
+        self.behind = self.head + np.where(self.lengths > 1, 1, 256)
         ones = np.arange(self.widest)[None, :] < self.lengths[:, None]
         self.masks = (ones * np.uint8(255)).astype(np.uint8).view(">u8").astype(np.uint64)
 
@@ -74,32 +77,55 @@ class PieceModel:
         raw = b"".join(map(self.bytes_of.__getitem__, ids))
         return (raw[1:] if raw[:1] == b" " else raw).decode(errors="replace")
 
-    def _bound(self, text: np.ndarray, order: np.ndarray, upper: bool) -> np.ndarray:
-        """For every piece, the first suffix not below it (or above all that begin with it)."""
-        low, high = np.zeros(len(self.pieces), np.int64), np.full(len(self.pieces), len(order), np.int64)
-        padded = np.zeros(len(text) + self.widest, np.uint8)
-        padded[: len(text)] = text
-        view = np.ndarray((len(text) + self.widest - 7,), ">u8", padded.data, strides=(1,))
-        while True:
-            open_ = np.flatnonzero(low < high)
-            if not len(open_):
-                return low
+    def _ranges(self, text: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For every piece, the range of suffixes that begin with it.
+
+        The first two bytes of a suffix give the range of all that share them, by counting;
+        only longer pieces are searched, each within the range of its own two bytes.
+        """
+        n = len(text)
+        padded = np.zeros(n + self.widest, np.uint8)
+        padded[:n] = text
+        counts = np.bincount(padded[:n].astype(np.int64) * 256 + padded[1 : n + 1], minlength=1 << 16)
+        before = np.concatenate([[0], np.cumsum(counts)])
+        low, high = before[self.head], before[self.behind]
+        view = np.ndarray((n + self.widest - 7,), ">u8", padded.data, strides=(1,))
+        first = view[order].astype(np.uint64)
+        deep = np.flatnonzero((self.lengths > 2) & (low < high))
+        own = low[deep], high[deep]
+        low[deep] = self._bound(view, order, first, deep, *own, upper=False)
+        high[deep] = self._bound(view, order, first, deep, low[deep], own[1], upper=True)
+        return low, high
+
+    def _bound(
+        self, view: np.ndarray, order: np.ndarray, first: np.ndarray, pieces: np.ndarray, low: np.ndarray, high: np.ndarray, upper: bool
+    ) -> np.ndarray:
+        """For each of ``pieces``, the first suffix from low to high not below it (or above all that begin with it)."""
+        low, high = low.copy(), high.copy()
+        open_ = np.flatnonzero(low < high)
+        while len(open_):
             middle = (low[open_] + high[open_]) >> 1
-            at = order[middle]
-            below, equal = np.zeros(len(open_), bool), np.ones(len(open_), bool)
-            for k in range(self.widest // 8):
-                own = view[at + 8 * k].astype(np.uint64) & self.masks[open_, k]
-                piece = self.words[open_, k]
-                below |= equal & (own < piece)
-                equal &= own == piece
+            piece = pieces[open_]
+            start = first[middle] & self.masks[piece, 0]
+            below, equal = start < self.words[piece, 0], start == self.words[piece, 0]
+            for k in range(1, self.widest // 8):
+                # Eight bytes more, where all before them are equal and the piece goes on.
+                on = np.flatnonzero(equal & (self.lengths[piece] > 8 * k))
+                if not len(on):
+                    break
+                more = view[order[middle[on]] + 8 * k].astype(np.uint64) & self.masks[piece[on], k]
+                wanted = self.words[piece[on], k]
+                below[on], equal[on] = more < wanted, more == wanted
             right = below | (equal & upper)
             low[open_[right]] = middle[right] + 1
             high[open_[~right]] = middle[~right]
+            open_ = open_[low[open_] < high[open_]]
+        return low
 
     def edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All occurrences of all pieces, sorted by position and length: keys and piece numbers."""
         order = suffix_array(text)
-        low, high = self._bound(text, order, False), self._bound(text, order, True)
+        low, high = self._ranges(text, order)
         counts = high - low
         piece = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
         at = np.arange(len(piece)) - np.repeat(np.cumsum(counts) - counts, counts) + low[piece]
