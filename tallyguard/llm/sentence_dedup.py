@@ -5,7 +5,7 @@ all its occurrences but the first, and every sentence that a marked run covers i
 removed. Long sentences are cut at places that only the words nearby decide, so a
 passage has the same cuts wherever it stands.
 
-Texts are cut and hashed in slices of some MB as arrays of bytes. A slice sends each
+Texts are cut and hashed in slices as arrays of bytes. A slice sends each
 hash once, with its earliest place there: what comes later within the slice is known
 to be a repeat, so a passage in a third of all documents costs one row a slice.
 """
@@ -35,7 +35,7 @@ class SpanParams:
     long_words: int = 16
     cut_window: int = 8
     #: Bytes of text that are cut and hashed at once.
-    slice_bytes: int = 2 << 20
+    slice_bytes: int = 1 << 19
 
     def __post_init__(self) -> None:
         if not 1 <= max(self.span, self.min_words) < _MOST_SENTENCES:
