@@ -1,7 +1,7 @@
 """Quality rules: counts over whole texts, and how far a text is from its language.
 
 Everything is built-in column functions. Per document there are counts of seven
-character classes and of the most frequent short words of its language. Summed
+character classes and of the most frequent words of its language. Summed
 over all documents of a language they are its reference; the Jensen-Shannon
 distance to it is the verdict, for texts long enough to tell.
 """
@@ -21,8 +21,6 @@ class QualityParams:
     min_words: int = 10
     max_repeat_pct: int = 20
     window: int = 5
-    #: A common word has at most so many characters, so candidates do not grow with the corpus.
-    common_chars: int = 3
     common_words: int = 12
     #: Shorter texts say too little about their distribution.
     min_divergence_words: int = 40
@@ -122,9 +120,9 @@ def text_counts(docs: DataFrame, common: DataFrame, params: QualityParams, text_
 
 
 def common_words(docs: DataFrame, params: QualityParams, text_col: str = "text") -> DataFrame:
-    """The most frequent short words of each language, over all documents."""
-    short = F.filter(words_of_text(whole_text(text_col)), lambda w: F.length(w) <= params.common_chars)
-    counts = docs.select("_lang", F.explode(short).alias("word")).groupBy("_lang", "word").count()
+    """The most frequent words of each language, over all documents."""
+    words = words_of_text(whole_text(text_col))
+    counts = docs.select("_lang", F.explode(words).alias("word")).groupBy("_lang", "word").count()
     ranked = counts.withColumn(
         "rank", F.row_number().over(Window.partitionBy("_lang").orderBy(F.desc("count"), "word"))
     ).where(F.col("rank") <= params.common_words)
