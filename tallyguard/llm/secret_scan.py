@@ -131,9 +131,22 @@ class Field:
 
     def __init__(self, weights: np.ndarray, pairs: np.ndarray) -> None:
         self.weights, self.pairs = weights, pairs
-        free = np.delete(pairs.reshape(-1), OUTSIDE * 3 + INSIDE)
-        # A single tag set to outside changes two pairs at most.
-        self.margin = 2 * float(free.max() - free.min())
+        # What a tag begin or inside may at most win through its pairs against outside: alone, and
+        # where the next tag is inside and has to become begin, as inside never follows outside.
+        self.alone, self.before_inside = np.zeros(2), np.zeros(2)
+        for tag in (BEGIN, INSIDE):
+            enter = pairs[:, tag] - pairs[:, OUTSIDE]
+            leave = pairs[tag, [BEGIN, OUTSIDE]] - pairs[OUTSIDE, [BEGIN, OUTSIDE]]
+            self.alone[tag] = enter.max() + leave.max()
+            again = pairs[INSIDE] - pairs[BEGIN]
+            self.before_inside[tag] = enter.max() + pairs[tag, INSIDE] - pairs[OUTSIDE, BEGIN] + again.max()
+
+    def may_be_secret(self, scores: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Tokens that can be other than outside in a best sequence: no bound is less than the true gain."""
+        ahead = np.full(len(scores), -np.inf)
+        ahead[:-1] = np.where(row[1:] == row[:-1], scores[1:, INSIDE] - scores[1:, BEGIN], -np.inf)
+        win = np.maximum(self.alone, self.before_inside + ahead[:, None])
+        return (scores[:, :2] - scores[:, OUTSIDE, None] + win).max(1) > -1e-3
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         return x @ self.weights.astype(np.float32)
@@ -153,7 +166,7 @@ class Field:
 
     def secrets(self, scores: np.ndarray, row: np.ndarray) -> list[tuple[int, int]]:
         """First and last token of each secret."""
-        open_ = np.flatnonzero(scores[:, :2].max(1) - scores[:, OUTSIDE] > -self.margin)
+        open_ = np.flatnonzero(self.may_be_secret(scores, row))
         if not len(open_):
             return []
         cuts = np.flatnonzero((np.diff(open_) > 1) | (np.diff(row[open_]) != 0)) + 1
@@ -204,7 +217,7 @@ def train(windows: list[tuple[np.ndarray, np.ndarray]], rounds: int) -> Field:
             mean += 0.1 * (slope - mean)
             square += 0.01 * (slope**2 - square)
             value += 0.2 * (mean / (1 - 0.9**turn)) / (np.sqrt(square / (1 - 0.99**turn)) + 1e-9)
-        pairs[:] = np.clip(pairs, -2, 2)  # keeps the margin small
+        pairs[:] = np.clip(pairs, -2, 2)  # keeps the bounds on pairs small
         pairs[OUTSIDE, INSIDE] = -30
     return Field(w, pairs)
 
@@ -263,6 +276,14 @@ def _told(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, end, kind in spans)
 
 
+def _covered(start: int, stop: int, spans: list[tuple[int, int, int]]) -> bool:
+    """Whether spans of the patterns hold all of a stretch."""
+    for begin, end, kind in sorted(spans):
+        if kind < 3 and begin <= start < end:
+            start = end
+    return start >= stop
+
+
 _RESULT = "doc_id long, n_assign long, n_access long, n_hex long, n_crf long, base_sha256 string, spans string"
 
 
@@ -272,7 +293,7 @@ def scan_secrets(
     """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, n_crf, base_sha256, spans.
 
     Null is an empty text without spans. Spans count code points. The field adds
-    spans of kind crf where no base span overlaps; base spans always stay. Repeated rows
+    spans of kind crf unless base spans hold all of them; base spans always stay. Repeated rows
     are judged alike; other columns are ignored. An empty table trains on made-up lines.
     """
     params = params or SecretParams()
@@ -298,7 +319,7 @@ def scan_secrets(
                     inside = data[starts[first] : ends[last]]
                     at = int(((begin & 0xC0) != 0x80).sum())
                     stop = at + int(((inside & 0xC0) != 0x80).sum())
-                    if not any(s < stop and at < e for s, e, _ in found[i]):
+                    if not _covered(at, stop, found[i]):
                         found[i].append((at, stop, 3))
                         extra[i] += 1
                 spans = [_told(sorted(s, key=lambda v: (v[0], v[2]))) for s in found]
