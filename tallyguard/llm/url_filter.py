@@ -32,11 +32,11 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 
-#: Words that mark unwanted hosts: each speaks for blocking at SEED_ODDS at least. As words of
-#: the unigram model they count as seen SEED_COUNT times more.
+#: Words that mark unwanted hosts, as prior counts: each counts as seen in blocked urls so often that
+#: it has SEED_ODDS before anything is learned, and SEED_COUNT times more as a word of the unigram model.
 SEED_WORDS = ("adult", "bet", "bonus", "casino", "cheap", "free", "jackpot", "loan", "pills", "poker", "porn", "replica", "sex", "slots", "viagra", "win", "xxx")
 SEED_COUNT = 50
-SEED_ODDS = 20.0
+SEED_ODDS = 20
 
 LONGEST_WORD = 24
 #: The model blocks only at such odds. Classes weigh alike: rules say nothing of the shares elsewhere.
@@ -123,11 +123,18 @@ def host_substrings(hosts: Iterable[str]) -> set[str]:
     return {run[i:j] for run in runs for i in range(len(run)) for j in range(i + 1, min(i + LONGEST_WORD, len(run)) + 1)}
 
 
+#: What is no running text: scripts, styles and comments, tags, and dotted names as in addresses.
+#: A host's name would else be a word of its own page, and never be split.
+_NO_TEXT = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>"
+_DOTTED = r"[\p{L}\p{N}_-]+(?:\.[\p{L}\p{N}_-]+)+"
+
+
 def unigram_counts(pages: DataFrame, html_col: str) -> DataFrame:
-    """(word, n): all words of the pages' text, and the known spam words."""
-    text = F.lower(F.regexp_replace(F.coalesce(F.col(html_col), F.lit("")), "<[^>]*>", " "))
+    """(word, n): all words of the pages' running text, and the known spam words."""
+    text = F.regexp_replace(F.coalesce(F.col(html_col), F.lit("")), _NO_TEXT, " ")
+    text = F.lower(F.regexp_replace(text, _DOTTED, " "))
     words = pages.select(F.explode(F.split(text, r"[^\p{L}]+")).alias("word"))
-    words = words.where(F.length("word").between(1, LONGEST_WORD)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = words.where("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     seeds = pages.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, SEED_WORDS))).alias("word"), F.lit(SEED_COUNT).cast("long").alias("n"))
     return words.union(seeds).groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -136,13 +143,15 @@ def _log_ratios(told: DataFrame) -> DataFrame:
     """(token, ratio): log P(token | block) - log P(token | allow) of all tokens of urls that a rule decides."""
     row = F.explode("rows").alias("row")
     tokens = told.select(row).where("row.rule_verdict is not null").select((F.col("row.rule_verdict") == "block").alias("b"), F.explode("row.tokens").alias("token"))
-    counts = tokens.groupBy("token").agg(F.count_if("b").alias("block"), F.count_if(~F.col("b")).alias("allow"))
-    counts = written(counts, "url-token-counts")
-    sums = counts.agg(F.count(F.lit(1)).alias("n"), F.sum("block").alias("block"), F.sum("allow").alias("allow")).first()
+    learned = tokens.groupBy("token").agg(F.count_if("b").alias("block"), F.count_if(~F.col("b")).alias("allow"))
+    learned = written(learned, "url-token-counts")
+    sums = learned.agg(F.count(F.lit(1)).alias("n"), F.sum("block").alias("block"), F.sum("allow").alias("allow")).first()
     all_block, all_allow = ((sums[k] or 0) + sums["n"] + 1 for k in ("block", "allow"))
+    prior = F.explode(F.array(*(F.lit("h:" + w) for w in SEED_WORDS))).alias("token")
+    seeds = told.sparkSession.range(1).select(prior, F.lit(SEED_ODDS - 1).cast("long").alias("block"), F.lit(0).cast("long").alias("allow"))
+    counts = learned.union(seeds).groupBy("token").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"))
     ratio = (F.log(F.col("block") + 1.0) - math.log(all_block)) - (F.log(F.col("allow") + 1.0) - math.log(all_allow))
-    seeds = told.sparkSession.range(1).select(F.explode(F.array(*(F.lit("h:" + w) for w in SEED_WORDS))).alias("token"), F.lit(math.log(SEED_ODDS)).alias("ratio"))
-    return counts.select("token", ratio.alias("ratio")).union(seeds).groupBy("token").agg(F.max("ratio").alias("ratio"))
+    return counts.select("token", ratio.alias("ratio"))
 
 
 _KINDS = {"long": pa.int64(), "string": pa.string(), "double": pa.float64(), "array<string>": pa.list_(pa.string())}
