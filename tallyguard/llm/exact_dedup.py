@@ -93,10 +93,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their columns."""
-    keep = exact_groups(docs, id_col, text_col).where("kept")
-    keep = keep.select(F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_sha"))
-    marked = docs.withColumn("_sha_own", F.sha2(normalised(text_col), 256))
-    same = (F.col("_sha_own") == F.col("_sha")) & F.col(id_col).cast("long").eqNullSafe(F.col("_keep_id"))
+    keep = exact_groups(docs, id_col, text_col).where("kept").select("doc_id", F.col("text_sha256").alias("sha"))
+    # The rows travel as one column, so no name of theirs can clash.
+    rows = docs.select(
+        F.sha2(normalised(text_col), 256).alias("sha"),
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+    ).alias("own")
+    keep = keep.alias("keep")
+    alike = [F.col(f"own.{name}").eqNullSafe(F.col(f"keep.{name}")) for name in ("sha", "doc_id")]
     # One of several rows with the same identifier and text.
-    found = marked.join(keep, same).dropDuplicates(["_sha", "_keep_id"])
-    return found.select(*[F.col(f"`{name}`") for name in docs.columns])
+    found = rows.join(keep, alike).select("own.*").dropDuplicates(["sha", "doc_id"])
+    return found.select("row.*")

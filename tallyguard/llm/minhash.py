@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyguard.llm.common import byte_slices, mixed, span_hashes, utf8, words_of, written
@@ -330,8 +330,9 @@ def one_of_each(
 
     Rows without an identifier all stay; of rows that share a kept identifier one stays.
     """
-    keep = near_groups(docs, id_col, text_col, params).where("kept and doc_id is not null")
-    keep = keep.select(F.col("doc_id").alias("_keep")).distinct()
-    found = docs.join(keep, F.col(id_col).cast("long") == F.col("_keep")).dropDuplicates(["_keep"])
-    columns: list[Column] = [F.col(f"`{name}`") for name in docs.columns]
-    return found.select(*columns).union(docs.where(F.col(id_col).isNull()).select(*columns))
+    keep = near_groups(docs, id_col, text_col, params).where("kept and doc_id is not null").select("doc_id").distinct()
+    # The rows travel as one column, so no name of theirs can clash.
+    own = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), own.alias("row"))
+    found = rows.join(keep, "doc_id").dropDuplicates(["doc_id"])
+    return found.union(rows.where(F.col("doc_id").isNull())).select("row.*")

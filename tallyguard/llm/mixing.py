@@ -15,10 +15,9 @@ miss its target by less than one of its smaller documents, where it has enough o
 from __future__ import annotations
 
 from collections.abc import Iterator
-from fractions import Fraction
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,34 +27,65 @@ MOST_COPIES = 3
 BLOCK_ROWS = 512
 FAN_IN = 64
 LARGE_PARTS = 20
-#: Sources are settings of a mix, not data: their totals are laid out on the driver.
-MAX_SOURCES = 100_000
+#: Sources weigh 1, 2, 3 and so on again.
+CYCLE = 3
 SEED = 17
 
 
-def cyclic_weights(n: int) -> list[int]:
-    return [1 + i % 3 for i in range(n)]
+def numbered_sources(totals: DataFrame) -> DataFrame:
+    """``totals`` (source, ...) with each source's weight: 1, 2, 3, repeating, by code point, null last.
 
-
-def targets(sizes: list[int], weights: list[int], most: int = MOST_COPIES) -> list[Fraction]:
-    """Words for each source: shares by weight, at most ``most`` times its size.
-
-    What is above goes to the others by weight until none is above.
+    A range sort places the sources; only the number of sources in each range, a row
+    a partition, meets in one task.
     """
-    found = [Fraction(0)] * len(sizes)
-    left, todo = Fraction(sum(sizes)), list(range(len(sizes)))
-    while todo:
-        total = sum(weights[i] for i in todo)
-        above = [i for i in todo if left * weights[i] > most * sizes[i] * total]
-        if not above or total == 0:
-            for i in todo:
-                found[i] = left * weights[i] / total if total else Fraction(0)
+    order = [F.col("source").isNull(), F.col("source")]
+    sorted_ = totals.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = written(sorted_.withColumn("place", F.monotonically_increasing_id()), "mix-sources")
+    # The identifier holds the partition above 33 bits and the row's number in it below.
+    placed = placed.withColumn("range", F.shiftright("place", 33)).withColumn("at", F.col("place").bitwiseAND((1 << 33) - 1))
+    ranges = placed.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("range")) - F.col("n")
+    placed = placed.join(ranges.select("range", before.alias("before")), "range")
+    weight = 1 + F.pmod(F.col("before") + F.col("at"), F.lit(CYCLE))
+    return placed.withColumn("weight", weight.cast("long")).drop("place", "range", "at", "before")
+
+
+def _whole_number(column: Column, digits: int) -> Column:
+    return column.cast(T.DecimalType(digits, 0))
+
+
+def with_targets(sources: DataFrame, most: int = MOST_COPIES) -> DataFrame:
+    """``sources`` (source, size, weight) with target, and the rate of copies as ``whole`` and ``open``.
+
+    Shares go by weight. A source whose share is above ``most`` times its size stops there
+    and the excess goes to the others by weight, until none is above. The words left and the
+    weights left are whole numbers, so a round is one sum over the table; the share of a unit
+    of weight only grows, so the stopped sources of a round include those of the rounds
+    before, and as in Newton's method the rounds grow with the logarithm of the sizes.
+    """
+    all_size, all_weight = sources.agg(
+        F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))
+    ).first()
+    size, weight = _whole_number(F.col("size"), 18), _whole_number(F.col("weight"), 1)
+    words, weights = all_size, all_weight
+    while True:
+        part_words, part_weight = _whole_number(F.lit(words), 18) * weight, _whole_number(F.lit(weights), 12) * size
+        above = part_words > part_weight * F.lit(most).cast(T.DecimalType(4, 0))
+        stopped = sources.where(above).agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+        left = all_size - most * stopped[0], all_weight - stopped[1]
+        if left == (words, weights):
             break
-        for i in above:
-            found[i] = Fraction(most * sizes[i])
-        left -= sum(found[i] for i in above)
-        todo = [i for i in todo if i not in set(above)]
-    return found
+        words, weights = left
+    some = ~above & (F.col("size") > 0)
+    whole = F.when(above & (F.col("size") > 0), F.lit(most)).when(some, F.floor((part_words - part_words % part_weight) / part_weight))
+    rest = F.when(some, (part_words % part_weight).cast("double") / part_weight.cast("double"))
+    target = F.when(above, F.col("size") * most).otherwise(part_words.cast("double") / F.lit(max(weights, 1)).cast("double"))
+    return sources.select(
+        "*",
+        target.cast("double").alias("target"),
+        F.coalesce(whole.cast("long"), F.lit(0)).cast("long").alias("whole"),
+        F.coalesce(rest, F.lit(0.0)).alias("open"),
+    )
 
 
 def _draw(key: int, level: int) -> float:
@@ -144,7 +174,6 @@ def mix_sources(
     with equal identifier, source and text draw alike only by chance of order, so
     their outcomes may be exchanged among them. Other columns are ignored.
     """
-    spark = docs.sparkSession
     own = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
@@ -153,29 +182,17 @@ def mix_sources(
     )
     own = written(own, "mix-sizes")
     totals = own.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
-    sources = totals.limit(MAX_SOURCES + 1).collect()
-    if len(sources) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    sources.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
-    goals = targets([r["size"] for r in sources], cyclic_weights(len(sources)))
-    plan = []
-    for row, goal in zip(sources, goals):
-        rate = goal / row["size"] if row["size"] else Fraction(0)
-        whole = rate.numerator // rate.denominator
-        plan.append((row["source"], row["size"], float(goal), whole, float(rate - whole), -(-row["rows"] // block_rows)))
-    schema = T.StructType(
-        [
-            T.StructField("_source", T.StringType()),
-            T.StructField("source_size", T.LongType()),
-            T.StructField("target", T.DoubleType()),
-            T.StructField("whole", T.LongType()),
-            T.StructField("open", T.DoubleType()),
-            T.StructField("blocks", T.LongType()),
-        ]
+    plan = with_targets(numbered_sources(totals)).select(
+        F.col("source").alias("_source"),
+        F.col("size").alias("source_size"),
+        "target",
+        "whole",
+        "open",
+        F.ceil(F.col("rows") / block_rows).cast("long").alias("blocks"),
     )
-    planned = own.join(
-        spark.createDataFrame(plan, schema), F.col("source").eqNullSafe(F.col("_source"))
-    ).drop("_source")
+    plan = written(plan, "mix-plan")
+    most = plan.agg(F.coalesce(F.max("blocks"), F.lit(0))).first()[0]
+    planned = own.join(plan, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     wordless = F.col("size") == 0
     settled = wordless | (F.col("open") == 0)
     least = F.greatest(F.col("whole"), F.ceil("open").cast("long"))
@@ -192,7 +209,6 @@ def mix_sources(
         F.pmod("key", F.col("blocks")).alias("block"),
         F.when(settled, F.when(wordless, F.when(F.col("whole") > 0, F.col("whole")).otherwise(least)).otherwise(F.col("whole"))).alias("copies"),
     )
-    most = max([p[5] for p in plan], default=0)
     large = F.col("size") * LARGE_PARTS > F.col("target")
     open_units = units.where(F.col("copies").isNull())
     first = _settled(open_units.where(large), most, fan_in, "mix-large")
@@ -224,11 +240,21 @@ def row_key(id_col: str, text_col: str, source_col: str, seed: int):
 def take_mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED
 ) -> DataFrame:
-    """The rows of the mix, each as often as it is copied, with the columns of ``docs``."""
+    """The rows of the mix, each as often as it is copied, with the columns of ``docs``.
+
+    Rows that are alike in identifier, source and text take together what all of them got;
+    one of them, any, gives the other columns of these copies.
+    """
     mix = mix_sources(docs, id_col, text_col, source_col, seed)
-    # Rows that are alike in identifier, source and text share a key; they take what all of them got.
-    copies = mix.groupBy("key").agg(F.sum("copies").alias("_all"))
-    keyed = docs.withColumn("_key", row_key(id_col, text_col, source_col, seed))
-    one = keyed.dropDuplicates(["_key"]).join(copies.withColumnRenamed("key", "_key"), "_key")
-    repeated = one.where("_all > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_all")))
-    return repeated.select(*[F.col(f"`{name}`") for name in docs.columns])
+    copies = mix.groupBy("doc_id", "source", "key").agg(F.sum("copies").alias("all")).where("all > 0")
+    # The rows travel as one column, so no name of theirs can clash. The hash alone would not tell all documents apart.
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(source_col).cast("string").alias("source"),
+        row_key(id_col, text_col, source_col, seed).alias("key"),
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+    )
+    one, got = rows.dropDuplicates(["doc_id", "source", "key"]).alias("one"), copies.alias("got")
+    alike = [F.col(f"one.{name}").eqNullSafe(F.col(f"got.{name}")) for name in ("key", "doc_id", "source")]
+    repeated = one.join(got, alike).select("row", F.explode(F.sequence(F.lit(1).cast("long"), "all")))
+    return repeated.select("row.*")

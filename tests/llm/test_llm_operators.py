@@ -12,7 +12,7 @@ import sentencepiece
 
 from tallyguard.llm.exact_dedup import drop_copies, exact_groups
 from tallyguard.llm.minhash import near_groups
-from tallyguard.llm.mixing import mix_sources, take_mix, targets
+from tallyguard.llm.mixing import mix_sources, take_mix, with_targets
 from tallyguard.llm.piece_encoding import PieceEncoder, encode_and_decode
 from tallyguard.llm.quality import quality
 from tallyguard.llm.secret_scan import SecretParams, _made_up, scan_secrets, tokens_and_features, train, trained
@@ -183,7 +183,8 @@ def test_tokens_equal_the_library(docs, empty):
 
 
 def test_mixing(docs, empty, spark):
-    assert [float(x) for x in targets([10, 100, 10], [1, 2, 3])] == [30.0, 60.0, 30.0]
+    plan = with_targets(spark.createDataFrame([("a", 10, 1), ("b", 100, 2), ("c", 10, 3)], "source string, size long, weight long"))
+    assert {r.source: r.target for r in plan.collect()} == {"a": 30.0, "b": 60.0, "c": 30.0}
     frame = spark.createDataFrame([(i, prose(5 + i % 40, i), f"s{i % 4}") for i in range(3000)], "doc_id long, text string, source string")
     got = mix_sources(frame, block_rows=64, fan_in=4).toPandas()
     sums = got.groupby("source").agg(taken=("taken", "sum"), target=("target", "first"))
