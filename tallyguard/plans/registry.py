@@ -21,16 +21,10 @@ from tallyguard.sources.alerts import read_alert_files
 from tallyguard.sources.payloads import unwrap_rows
 from tallyguard.streaming.account_rules import account_alerts
 from tallyguard.streaming.alerts import dedup_alert_stream
-from tallyguard.streaming.balances import (
-    alert_letter_rows,
-    current_balances,
-    outcome_rows,
-    settle,
-    settlement_tables,
-    write_settlement,
-)
+from tallyguard.streaming.balances import current_balances
 from tallyguard.streaming.loop import StreamingLoop, as_records
-from tallyguard.streaming.run import drain, start_drain
+from tallyguard.streaming.run import drain
+from tallyguard.streaming.settlement import batch_settlement_tables, settle_batches
 from tallyguard.streaming.velocity import exact_velocity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -438,35 +432,38 @@ def _written_alerts(spark, sf_dir, txns):
 
 
 def _settled(spark, sf_dir):
-    """Repeated transactions and the alerts of all rules, settled on a stream."""
-    return settle(
+    """The tables of repeated transactions and the alerts of all rules, settled on a stream."""
+    base = scratch_path(spark, "stream-settled")
+    tables = batch_settlement_tables(spark, base)
+    settle_batches(
         derived.with_replays(derived.transaction_stream(spark, sf_dir)),
         derived.accounts(spark, sf_dir),
         derived.ledger(spark, sf_dir),
         _written_alerts(spark, sf_dir, _replayed(spark, sf_dir)),
+        tables,
+        f"{base}/checkpoint",
     )
+    return tables
 
 
 @query
 def stream_balances(spark, sf_dir):
-    return _outcomes(drain(outcome_rows(_settled(spark, sf_dir)), "stream-balances"))
+    return _outcomes(_settled(spark, sf_dir).read("outcomes"))
 
 
 @query
 def stream_freezes(spark, sf_dir):
     """The last state of every account that changed, frozen ones without a transaction too."""
-    base = scratch_path(spark, "stream-freezes")
-    tables = settlement_tables(spark, base)
-    start_drain(_settled(spark, sf_dir), f"{base}/checkpoint", write_settlement(tables))
-    now = current_balances(derived.accounts(spark, sf_dir), tables.read("balances"))
+    changes = _settled(spark, sf_dir).read("balances")
+    now = current_balances(derived.accounts(spark, sf_dir), changes)
     return now.select("account_id", _cents("balance"), "status")
 
 
 @query
 def stream_alert_rejects(spark, sf_dir):
-    """Alerts for unknown accounts, dead-lettered by the operator that freezes the others."""
-    letters = alert_letter_rows(_settled(spark, sf_dir))
-    return drain(letters, "stream-alert-letters").select(
+    """Alerts for unknown accounts, dead-lettered by the step that freezes the others."""
+    letters = _settled(spark, sf_dir).read("dead_letters").where(F.col("orig_topic") == "alerts")
+    return letters.select(
         "dlt_topic", "key", "orig_topic", "orig_offset", "error_class", "error_message"
     )
 

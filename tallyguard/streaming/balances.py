@@ -152,21 +152,11 @@ def settle(
     from then on the checkpoint holds the truth. Alerts that were decoded from a topic have
     no ``trigger_arrival``, but their own ``partition`` and ``offset``. Ids are kept for
     ever unless ``id_ttl_ms`` says how long.
+
+    Every record asks the state about its id, which suits small batches that have to be
+    quick. ``settlement.settle_batches`` gives the same for batches of any size.
     """
-    rows = txns.select(
-        "transaction_id",
-        "account_id",
-        "type",
-        to_cents(F.col("amount")).alias("cents"),
-        "city",
-        F.unix_millis("event_ts").alias("event_ms"),
-        F.unix_millis("record_ts").alias("record_ms"),
-        "arrival",
-        F.col("partition").cast("int").alias("partition"),
-        *[F.lit(None).cast(kind).alias(name) for name, kind in _ALERT_ONLY],
-    )
-    if alerts is not None:
-        rows = rows.unionByName(_alert_rows(alerts))
+    rows = settlement_rows(txns, alerts)
     start = accounts.select(
         "account_id",
         F.lit(None).cast("string").alias("transaction_id"),
@@ -199,6 +189,23 @@ def settle(
     return settled.unionByName(nameless)
 
 
+def settlement_rows(txns: DataFrame, alerts: DataFrame | None = None) -> DataFrame:
+    """Transactions and alerts as rows of one shape; alerts have a ``rule_type``."""
+    rows = txns.select(
+        "transaction_id",
+        "account_id",
+        "type",
+        to_cents(F.col("amount")).alias("cents"),
+        "city",
+        F.unix_millis("event_ts").alias("event_ms"),
+        F.unix_millis("record_ts").alias("record_ms"),
+        "arrival",
+        F.col("partition").cast("int").alias("partition"),
+        *[F.lit(None).cast(kind).alias(name) for name, kind in _ALERT_ONLY],
+    )
+    return rows if alerts is None else rows.unionByName(_alert_rows(alerts))
+
+
 _ALERT_ONLY = [("rule_type", "string"), ("reason", "string"), ("count", "long"), ("freeze_after", "long")]
 
 

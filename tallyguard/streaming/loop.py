@@ -27,7 +27,7 @@ from tallyguard.schemas import ALERT, DEAD_LETTER
 from tallyguard.session import ROCKSDB_PROVIDER
 from tallyguard.sources.transactions import decode_records, decoded_transactions
 from tallyguard.streaming.account_rules import account_alerts
-from tallyguard.streaming.balances import settle, settlement_tables, write_settlement
+from tallyguard.streaming.settlement import batch_settlement_tables, settle_batches
 from tallyguard.streaming.tables import BatchTables, TableSpec
 from tallyguard.streaming.velocity import (
     TIMED,
@@ -61,7 +61,7 @@ class StreamingLoop:
 
     @property
     def settled(self) -> BatchTables:
-        return settlement_tables(self.spark, f"{self.base}/settled")
+        return batch_settlement_tables(self.spark, f"{self.base}/settled")
 
     def cycle(self) -> None:
         """Take in all records that are there now, and settle them."""
@@ -102,10 +102,15 @@ class StreamingLoop:
     def settle(self) -> None:
         # All alerts come with the first batch; transactions may take several.
         alerts = [self.alert_stream(name) for name in ("account", "velocity")]
-        rows = settle(
-            self._transactions(), self.accounts, self.ledger, alerts[0].unionByName(alerts[1])
+        settle_batches(
+            self._transactions(),
+            self.accounts,
+            self.ledger,
+            alerts[0].unionByName(alerts[1]),
+            self.settled,
+            f"{self.base}/checkpoints/settle",
+            self.scale,
         )
-        self._drain(rows.writeStream.foreachBatch(write_settlement(self.settled)), "settle")
 
     def alert_stream(self, name: str) -> DataFrame:
         return self.spark.readStream.schema(ALERT).parquet(f"{self.base}/alerts/{name}")

@@ -23,10 +23,14 @@ BATCH = "batch_id"
 
 @dataclass(frozen=True)
 class TableSpec:
-    """Columns of a table. With ``keys``, a row replaces the one of an earlier batch with the same keys."""
+    """Columns of a table. With ``keys``, a row replaces the one of an earlier batch with the same keys.
+
+    A ``whole`` table is given anew by every batch, and replaces what the one before gave.
+    """
 
     schema: StructType
     keys: tuple[str, ...] = ()
+    whole: bool = False
 
 
 class BatchTables:
@@ -38,8 +42,16 @@ class BatchTables:
     def write(self, batch_id: int, rows: Mapping[str, DataFrame], n_records: int | None = None) -> None:
         """All tables of one batch, and then its commit."""
         for name, frame in rows.items():
-            columns = self.specs[name].schema.fieldNames()
-            frame.select(*columns).write.mode("overwrite").parquet(self._folder(name, batch_id))
+            self.put(name, batch_id, frame)
+        self.commit(batch_id, n_records)
+
+    def put(self, name: str, batch_id: int, rows: DataFrame) -> DataFrame:
+        """One table of a batch; gives back what was written, so that it is computed once."""
+        schema, folder = self.specs[name].schema, self._folder(name, batch_id)
+        rows.select(*schema.fieldNames()).write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(schema).parquet(folder)
+
+    def commit(self, batch_id: int, n_records: int | None = None) -> None:
         note = self.spark.range(1).select(F.lit(n_records).cast("long").alias("n_records"))
         note.write.mode("overwrite").parquet(f"{self.base}/commits/{BATCH}={batch_id}")
 
@@ -76,10 +88,17 @@ class BatchTables:
 
     # --- reading ---------------------------------------------------------
 
-    def read(self, name: str) -> DataFrame:
-        """The committed rows with their ``batch_id``; with keys, the newest row of each."""
+    def read(self, name: str, before: int | None = None) -> DataFrame:
+        """The committed rows with their ``batch_id``; with keys, the newest row of each.
+
+        ``before`` leaves out that batch and later ones: what a batch finds, also when it is repeated.
+        """
         spec = self.specs[name]
         upto, since = self._state()
+        if before is not None:
+            since = [n for n in since if n < before]
+        if spec.whole and since:
+            upto, since = None, since[-1:]
         schema = StructType([*spec.schema.fields]).add(BATCH, LongType())
         parts = []
         if upto is not None:
@@ -90,8 +109,12 @@ class BatchTables:
             found = self.spark.read.schema(schema).option("basePath", f"{self.base}/{name}").parquet(*folders)
             parts.append(found.select(*schema.fieldNames()))
         if not parts:
-            return self.spark.createDataFrame([], schema)
+            # Known to be empty when it is planned, so that joins with it fall away.
+            nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+            return self.spark.range(1).where(F.lit(False)).select(*nulls)
         rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        if before is not None:
+            rows = rows.where(F.col(BATCH) < before)
         if not spec.keys:
             return rows
         whole = F.struct(*schema.fieldNames())
