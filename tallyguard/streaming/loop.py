@@ -2,8 +2,8 @@
 
 Each step is a streaming query of its own, and durable tables lie between them:
 
-1. records of the transaction topic are decoded, get their partition's stream time, and
-   are written with it; unreadable ones become letters;
+1. records of the transaction topic are decoded, get their partition's stream time and the
+   count of their window, and are written with them; unreadable ones become letters;
 2. the rules read these transactions and append alerts, each rule exactly once;
 3. settlement reads the transactions and the alerts, keeps balances and freezes, and
    writes outcomes, ledger, balances and letters, batch by batch with a commit.
@@ -72,7 +72,7 @@ class StreamingLoop:
 
     def take_in(self) -> None:
         decoded = self.decoded
-        write = write_timed(decoded, self.scale)
+        write = write_timed(decoded, self.params, self.scale)
 
         def write_both(batch: DataFrame, batch_id: int) -> None:
             records = decode_records(batch, self.value_format).persist()

@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from tallyguard.operators.ordered import running
 from tallyguard.params import RuleParams, ScaleParams
 from tallyguard.schemas import TRANSACTION
 from tallyguard.session import scratch_path
-from tallyguard.streaming.tables import BATCH, BatchTables, TableSpec
+from tallyguard.streaming.tables import BatchTables, TableSpec
 
 
 def windowed_velocity(txns: DataFrame, params: RuleParams) -> DataFrame:
@@ -36,71 +33,118 @@ def windowed_velocity(txns: DataFrame, params: RuleParams) -> DataFrame:
 # --- exact counts ------------------------------------------------------------
 #
 # Stream time is one per broker partition: the highest broker time seen there, in order
-# of arrival. It decides which records are late, and is all that a partition has to be
-# looked at as a whole for. So a first step adds it to the records and writes them to a
-# table; the second one counts each window of each account on its own.
+# of arrival. It decides which records are late. A first step adds it to the records of a
+# batch, counts each window of each account in order of arrival, and writes both with the
+# records; the times of the partitions and the counts of open windows are carried on in
+# tables. A second step only has to filter what was written.
 
 _TIMED = StructType(
     [
         *TRANSACTION.fields,
         StructField("stream_ms", LongType()),
-        StructField("clock", TimestampType()),
+        StructField("window_start_ms", LongType()),
+        StructField("in_window", LongType()),
     ]
 )
 _PARTITION_TIME = StructType(
     [StructField("partition", IntegerType()), StructField("stream_ms", LongType())]
 )
-TIMED = {"timed": TableSpec(_TIMED), "stream_time": TableSpec(_PARTITION_TIME, ("partition",))}
+_WINDOW = ["partition", "account_id", "window_start_ms"]
+_OPEN = StructType(
+    [
+        StructField("partition", IntegerType()),
+        StructField("account_id", StringType()),
+        StructField("window_start_ms", LongType()),
+        StructField("in_window", LongType()),
+    ]
+)
+TIMED = {
+    "timed": TableSpec(_TIMED),
+    "stream_time": TableSpec(_PARTITION_TIME, ("partition",)),
+    "open_windows": TableSpec(_OPEN, whole=True),
+}
 
 
 def timed_tables(spark: SparkSession, base: str) -> BatchTables:
     return BatchTables(spark, base, TIMED)
 
 
-def write_timed(tables: BatchTables, scale: ScaleParams | None = None):
-    """A foreachBatch function: transactions with the stream time at each of them.
+def write_timed(tables: BatchTables, params: RuleParams, scale: ScaleParams | None = None):
+    """A foreachBatch function: transactions with stream time and window count at each of them.
 
-    Within a batch it is a running maximum, in chunks where a partition holds many rows;
-    the last value of each partition is carried on in a table. Records without an account
-    do not advance it. ``clock`` is the lowest stream time of all partitions after the
-    batch: nothing that ended before it can come any more.
+    Within a batch both are running values, in chunks where a partition or a window holds
+    many rows. Records without an account do not advance the time. ``in_window`` counts the
+    records of the account's window up to this one; late records and those without an
+    account have none. Windows that the partition's time has closed are not carried on.
     """
+    open_ms = (params.window_seconds + params.grace_seconds) * 1000
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            rows = {"timed": add_stream_time(batch, _before(tables, batch_id), scale)}
-            # Written once: the carried times are read from these rows.
-            rows["timed"].write.mode("overwrite").parquet(f"{tables.base}/pending")
-            done = tables.spark.read.schema(rows["timed"].schema).parquet(f"{tables.base}/pending")
+            carried = tables.read("stream_time", batch_id).select(
+                "partition", F.col("stream_ms").alias("carried")
+            )
+            # Written once: times and counts are read from these rows.
+            pending = f"{tables.base}/pending"
+            rows = add_stream_time(batch, carried, scale)
+            rows.write.mode("overwrite").parquet(pending)
+            done = tables.spark.read.schema(rows.schema).parquet(pending)
             times = done.groupBy("partition").agg(F.max("stream_ms").alias("stream_ms"))
-            now = _merged(times, _before(tables, batch_id))
-            clock = now.agg(F.min("stream_ms")).first()[0]
+            now = tables.put("stream_time", batch_id, _merged(times, carried))
+            counts = tables.read("open_windows", batch_id)
+            counts = counts.select(*_WINDOW, F.col("in_window").alias("counted"))
             # An account's rows of a batch share a file, so readers that take a batch in several
             # steps, oldest files first, still meet every account's rows in order.
             spread = F.coalesce("account_id", F.concat(F.lit("-"), F.col("arrival") % 997))
-            timed = done.repartition(spread).withColumn(
-                "clock", F.timestamp_millis(F.lit(clock).cast("long"))
+            timed = _count_windows(done, counts, params, scale).repartition(spread)
+            timed = tables.put("timed", batch_id, timed)
+            seen = timed.where("in_window IS NOT NULL").select(*_WINDOW, "in_window")
+            known = counts.select(*_WINDOW, F.col("counted").alias("in_window"))
+            still = (
+                seen.unionByName(known)
+                .groupBy(*_WINDOW)
+                .agg(F.max("in_window").alias("in_window"))
+                .join(F.broadcast(now), "partition")
+                .where(F.col("window_start_ms") + open_ms > F.col("stream_ms"))
             )
-            rows = {"timed": timed, "stream_time": now}
-            tables.write(batch_id, rows, None)
+            tables.write(batch_id, {"open_windows": still}, None)
         finally:
             batch.unpersist()
 
     return write
 
 
-def _before(tables: BatchTables, batch_id: int) -> DataFrame:
-    """Carried times of the batches before, also when this batch is repeated."""
-    rows = tables.read("stream_time").where(F.col(BATCH) < batch_id)
-    return rows.select("partition", F.col("stream_ms").alias("carried"))
-
-
 def _merged(times: DataFrame, before: DataFrame) -> DataFrame:
     joined = times.join(before, "partition", "full")
     return joined.select("partition", F.greatest("stream_ms", "carried").alias("stream_ms"))
 
 
+def _window_start(params: RuleParams) -> Column:
+    millis = F.unix_millis("record_ts")
+    return millis - F.pmod(millis, F.lit(params.window_seconds * 1000))
+
+
+def _count_windows(
+    timed: DataFrame, counts: DataFrame, params: RuleParams, scale: ScaleParams | None
+) -> DataFrame:
+    """Add ``in_window``; ``counts`` has what earlier batches counted in open windows."""
+    open_ms = (params.window_seconds + params.grace_seconds) * 1000
+    rows = timed.withColumn("window_start_ms", _window_start(params))
+    on_time = F.coalesce(
+        F.col("account_id").isNotNull() & (F.col("window_start_ms") + open_ms > F.col("stream_ms")),
+        F.lit(False),
+    )
+    counted = running(
+        rows.where(on_time), _WINDOW, "arrival", sums={"_own": F.lit(1)}, include_current=True, scale=scale
+    )
+    before = F.coalesce("counted", F.lit(0).cast("long"))
+    counted = counted.join(counts, _WINDOW, "left").withColumn("in_window", F.col("_own") + before)
+    return counted.select(*rows.columns, "in_window").unionByName(
+        rows.where(~on_time).withColumn("in_window", F.lit(None).cast("long"))
+    )
+
+
 def add_stream_time(
     txns: DataFrame, carried: DataFrame, scale: ScaleParams | None = None
 ) -> DataFrame:
@@ -115,84 +159,21 @@ def add_stream_time(
     )
 
 
-VELOCITY_OUTPUT = (
-    "partition int, account_id string, window_start_ms long, count long, "
-    "trigger_arrival long, event_ms long"
-)
-
-
-class WindowCount(StatefulProcessor):
-    """The count of one window of one account in one partition, until it closes."""
-
-    def __init__(self, params: RuleParams):
-        self.open_ms = (params.window_seconds + params.grace_seconds) * 1000
-        self.threshold = params.count_threshold
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.count = handle.getValueState("count", StructType([StructField("n", LongType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self.count.get()
-        n = known[0] if known is not None else 0
-        if known is None:
-            self.handle.registerTimer(key[2] + self.open_ms)
-        # The records of one account, window and batch.
-        for arrival, event_ms in sorted((row.arrival, row.event_ms) for row in rows):
-            n += 1
-            if n > self.threshold:
-                yield Row(
-                    partition=key[0],
-                    account_id=key[1],
-                    window_start_ms=key[2],
-                    count=n,
-                    trigger_arrival=arrival,
-                    event_ms=event_ms,
-                )
-        self.count.update((n,))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.count.clear()
-        return iter(())
-
-
 def counted_velocity(timed: DataFrame, params: RuleParams) -> DataFrame:
-    """Alert rows of the velocity rule for a stream of timed records, one for every record above the threshold."""
-    size, grace = params.window_seconds * 1000, params.grace_seconds * 1000
-    start = F.col("record_ms") - F.pmod(F.col("record_ms"), F.lit(size))
-    slim = (
-        timed.where(F.col("account_id").isNotNull())
-        # The clock never goes back and is later than no partition, so no record counts as
-        # late by it; one millisecond keeps those of an unchanged clock.
-        .withWatermark("clock", "1 millisecond")
-        .withColumn("record_ms", F.unix_millis("record_ts"))
-        .withColumn("window_start_ms", start)
-        .where(F.col("window_start_ms") + size + grace > F.col("stream_ms"))
-        .select(
-            "partition",
-            "account_id",
-            "window_start_ms",
-            "arrival",
-            F.unix_millis("event_ts").alias("event_ms"),
-            "clock",
-        )
-    )
-    counted = slim.groupBy("partition", "account_id", "window_start_ms").transformWithState(
-        WindowCount(params), VELOCITY_OUTPUT, "Append", "EventTime"
-    )
+    """Alert rows of the velocity rule among timed records, one for every record above the threshold."""
     reason = F.concat(
         F.lit("Too many transactions: "),
-        F.col("count").cast("string"),
+        F.col("in_window").cast("string"),
         F.lit(f" in {params.window_seconds}s"),
     )
-    return counted.select(
+    return timed.where(F.col("in_window") > params.count_threshold).select(
         "account_id",
         F.lit(None).cast("string").alias("transaction_id"),
         F.lit("HIGH_VELOCITY").alias("rule_type"),
         reason.alias("reason"),
-        "count",
-        "trigger_arrival",
-        F.timestamp_millis("event_ms").alias("alert_ts"),
+        F.col("in_window").alias("count"),
+        F.col("arrival").alias("trigger_arrival"),
+        F.date_trunc("MILLISECOND", "event_ts").alias("alert_ts"),
     )
 
 
@@ -202,17 +183,19 @@ def read_timed(spark: SparkSession, base: str, batches_per_trigger: int = 1000)
     return reader.parquet(f"{base}/timed").select(*_TIMED.fieldNames())
 
 
-def time_records(txns: DataFrame, base: str, checkpoint: str, scale: ScaleParams | None = None) -> BatchTables:
-    """Add stream time to all records that a stream has now, and write them below ``base``."""
+def time_records(
+    txns: DataFrame, params: RuleParams, base: str, checkpoint: str, scale: ScaleParams | None = None
+) -> BatchTables:
+    """Add stream time and counts to all records that a stream has now, and write them below ``base``."""
     tables = timed_tables(txns.sparkSession, base)
-    writer = txns.writeStream.foreachBatch(write_timed(tables, scale))
+    writer = txns.writeStream.foreachBatch(write_timed(tables, params, scale))
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return tables
 
 
 def exact_velocity(txns: DataFrame, params: RuleParams, scale: ScaleParams | None = None) -> DataFrame:
-    """Alerts of the velocity rule: what the stream has now gets its stream time, and is a stream again."""
+    """Alerts of the velocity rule: what the stream has now is timed and counted, and is a stream again."""
     base = scratch_path(txns.sparkSession, "velocity")
-    time_records(txns, base, f"{base}/time-checkpoint", scale)
+    time_records(txns, params, base, f"{base}/time-checkpoint", scale)
     return counted_velocity(read_timed(txns.sparkSession, base), params)
