@@ -20,7 +20,7 @@ from tallyguard.session import scratch_path
 from tallyguard.sources.alerts import read_alert_files
 from tallyguard.sources.payloads import unwrap_rows
 from tallyguard.streaming.account_rules import account_alerts
-from tallyguard.streaming.alerts import dedup_alert_stream
+from tallyguard.streaming.alerts import dedup_alert_stream, first_alert_tables
 from tallyguard.streaming.balances import current_balances
 from tallyguard.streaming.loop import StreamingLoop, as_records
 from tallyguard.streaming.run import drain
@@ -471,7 +471,9 @@ def stream_alert_rejects(spark, sf_dir):
 @query
 def stream_dedup_alerts(spark, sf_dir):
     alerts = _written_alerts(spark, sf_dir, derived.transactions(spark, sf_dir))
-    return drain(dedup_alert_stream(alerts, EVENT_RULES), "stream-dedup").select(
+    base = scratch_path(spark, "stream-dedup")
+    tables = first_alert_tables(spark, base)
+    return dedup_alert_stream(alerts, EVENT_RULES, tables, f"{base}/checkpoint").select(
         "account_id", "transaction_id", "rule_type", "trigger_arrival", "window_start_ms"
     )
 
