@@ -1,8 +1,8 @@
 """Scoring texts by a log-bilinear language model, and by the unigram counts of the corpus.
 
 Counts of all words of all training texts are a Spark table. The frequent words are
-classes of their own (those with the largest sum of counts in slices of the corpus of
-whose most frequent words they are), all others share a class with words of the same
+classes of their own (those with the largest counts in all training texts, ties by the
+word), all others share a class with words of the same
 ending, and the end of a text is a class. The model predicts the class of a token from the classes of
 the two before it: their vectors, each through a matrix of its place, add up to a
 prediction, whose product with a class's output vector, plus a bias, is the class's
@@ -169,9 +169,10 @@ def _counted(coded: DataFrame, params: LmParams) -> DataFrame:
     ``first`` marks one row of each word.
     """
     words = coded.where("code IS NOT NULL").select("g", "code", "word", "n")
-    # As many rows as the parameter says at most, so the list has a known bound.
+    # Summed over all slices for every word, as a word may be frequent in all and on top of none.
+    # The list has a row for each class of its own, so a known bound.
     frequent = (
-        words.where(F.col("code").between(1, params.own_classes) & (F.col("n") > 0))
+        words.where((F.col("code") > 0) & (F.col("n") > 0))
         .groupBy("word")
         .agg(F.sum("n").alias("often"))
         .orderBy(F.desc("often"), "word")

@@ -11,7 +11,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from tallyguard.llm.neural_lm import ClassStats, LmParams, LogBilinear, score_texts
+from tallyguard.llm.neural_lm import ClassStats, LmParams, LogBilinear, _coded, _counted, score_texts
 from tallyguard.llm.oracles import DIVERGENCE
 from tallyguard.llm.periodic_runs import _Texts, derivation, find_runs, periodic_runs
 from tallyguard.llm.queries import op11_periodic_runs
@@ -232,3 +232,12 @@ def test_divergence_edges(spark, docs, empty):
     plain = [(r[0], r[1], r[2], r[3]) for r in rows()]
     assert sorted(tuple(r) for r in divergence(docs).collect()) == audit(plain)
     assert divergence(empty).count() == 0
+
+
+def test_a_word_on_top_of_no_slice_has_its_class(spark):
+    """Each text is a slice of its own, in which ``common`` comes second; in all of them it comes first."""
+    params = LmParams(own_classes=1, held_out=10**9, slice_bytes=1)
+    rows = [(n, f"top{n} top{n} top{n} common common") for n in range(1, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    words = _counted(_coded(docs, params, "doc_id", "text"), params).where("class = 1")
+    assert {(r.code, r.c) for r in words.collect()} == {(2, 8)}
