@@ -59,9 +59,11 @@ def replay_rejects(
 
     The second run starts from the first one's balances and ledger, so the
     first outcomes are written to the checkpoint folder and read three times.
+    So are the freezes: both runs read them, and the rules behind them run once.
     Accounts frozen in between stay frozen.
     """
     checkpoint_root(txns.sparkSession)
+    freezes = freezes.checkpoint()
     first = apply_transactions(txns, accounts, ledger, freezes, scale).checkpoint()
     keys = ["account_id", "transaction_id"]
     known = ledger.select(*keys).unionByName(ledger_rows(first).select(*keys))
