@@ -162,7 +162,7 @@ def large_amount(txns: DataFrame, params: RuleParams) -> DataFrame:
 # --- SPEND_SPIKE -------------------------------------------------------------
 
 
-def _history_sums() -> dict[str, Column]:
+def history_sums() -> dict[str, Column]:
     """What the running history adds up; transactions without amount do not count."""
     cents = to_cents(F.col("amount")).cast("decimal(20,0)")
     return {
@@ -201,7 +201,7 @@ def rolling_stats(
     """Each transaction with the count and mean (cents) of its account's earlier ones."""
     usable = txns.where(F.col("account_id").isNotNull() & F.col("amount").isNotNull())
     history = running(
-        usable, ["account_id"], "arrival", sums=_history_sums(), hot=hot, scale=scale
+        usable, ["account_id"], "arrival", sums=history_sums(), hot=hot, scale=scale
     )
     return _with_mean(history)
 
@@ -223,7 +223,7 @@ def spend_spike(
 # --- GEO_IMPOSSIBLE ----------------------------------------------------------
 
 
-def _last_place() -> dict[str, Column]:
+def last_place() -> dict[str, Column]:
     """The newest place of earlier records; those without city or time are passed over."""
     place = F.struct("city", F.unix_millis("event_ts").alias("ms"))
     return {"previous": F.when(F.col("city").isNotNull() & F.col("event_ts").isNotNull(), place)}
@@ -282,7 +282,7 @@ def geo_impossible(
         & F.col("event_ts").isNotNull()
     )
     chained = running(
-        located, ["account_id"], "arrival", last=_last_place(), hot=hot, scale=scale
+        located, ["account_id"], "arrival", last=last_place(), hot=hot, scale=scale
     )
     moved = chained.where(F.lower("previous.city") != F.lower("city"))
     fast = _with_trip(moved).where(F.col("kmh") > params.geo_max_kmh)
@@ -304,11 +304,16 @@ def account_alerts(
         keyed,
         ["account_id"],
         "arrival",
-        sums=_history_sums(),
-        last=_last_place(),
+        sums=history_sums(),
+        last=last_place(),
         hot=hot,
         scale=scale,
     )
+    return judged_by_history(history, params)
+
+
+def judged_by_history(history: DataFrame, params: RuleParams) -> DataFrame:
+    """Alerts of the three rules for records with ``prior_cents``, ``prior_count`` and ``previous``."""
     raised = [
         ("LARGE_AMOUNT", _is_large(params), _large_reason(params)),
         ("SPEND_SPIKE", _is_spike(params), _spike_reason(params)),

@@ -19,11 +19,11 @@ from tallyguard.schemas import ALERT
 from tallyguard.session import scratch_path
 from tallyguard.sources.alerts import read_alert_files
 from tallyguard.sources.payloads import unwrap_rows
-from tallyguard.streaming.account_rules import account_alerts
+from tallyguard.streaming.account_rules import account_rule_tables, write_account_alerts
 from tallyguard.streaming.alerts import dedup_alert_stream, first_alert_tables
 from tallyguard.streaming.balances import current_balances
 from tallyguard.streaming.loop import StreamingLoop, as_records
-from tallyguard.streaming.run import drain
+from tallyguard.streaming.run import drain, start_drain
 from tallyguard.streaming.settlement import batch_settlement_tables, settle_batches
 from tallyguard.streaming.velocity import exact_velocity
 
@@ -419,8 +419,11 @@ def stream_velocity(spark, sf_dir):
 
 @query
 def stream_account_alerts(spark, sf_dir):
+    base = scratch_path(spark, "stream-alerts")
+    tables = account_rule_tables(spark, base)
     stream = derived.transaction_stream(spark, sf_dir)
-    return _alerts(drain(account_alerts(stream, EVENT_RULES), "stream-alerts"))
+    start_drain(stream, f"{base}/checkpoint", write_account_alerts(tables, EVENT_RULES))
+    return _alerts(tables.read("alerts"))
 
 
 def _written_alerts(spark, sf_dir, txns):

@@ -1,22 +1,28 @@
 """Large amounts, spending spikes and impossible travel on a stream.
 
-One processor keyed by account evaluates the three rules, so the stream is
-shuffled once and keeps one small state per account.
+``write_account_alerts`` judges a batch as a whole, by running values, and carries one small
+row per account in a table. ``account_alerts`` is the same as one stateful operator, which
+asks its state once per account of a batch and walks the records in Python: for small
+batches only.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType
 
 from tallyguard.functions.geo import CITIES, EARTH_RADIUS_KM
 from tallyguard.functions.money import to_cents
-from tallyguard.params import RuleParams
+from tallyguard.operators.ordered import running
+from tallyguard.operators.rules import history_sums, judged_by_history, large_amount, last_place
+from tallyguard.params import RuleParams, ScaleParams
+from tallyguard.schemas import ALERT
+from tallyguard.streaming.tables import BatchTables, TableSpec
 
 ALERT_OUTPUT = (
     "account_id string, transaction_id string, rule_type string, reason string, "
@@ -141,3 +147,74 @@ def account_alerts(txns: DataFrame, params: RuleParams) -> DataFrame:
         "trigger_arrival",
         F.timestamp_millis("event_ms").alias("alert_ts"),
     )
+
+
+# --- whole batches -----------------------------------------------------------
+
+_TOTAL = DecimalType(30, 0)
+_PLACE = StructType([StructField("city", StringType()), StructField("ms", LongType())])
+_HISTORY = StructType(
+    [
+        StructField("account_id", StringType()),
+        StructField("total_cents", _TOTAL),
+        StructField("n", LongType()),
+        StructField("place", _PLACE),
+    ]
+)
+ACCOUNT_RULES = {"alerts": TableSpec(ALERT), "history": TableSpec(_HISTORY, whole=True)}
+#: Before every arrival: the row that carries an account's history into a batch.
+_CARRIED = -(1 << 62)
+
+
+def account_rule_tables(spark: SparkSession, base: str) -> BatchTables:
+    return BatchTables(spark, base, ACCOUNT_RULES)
+
+
+def write_account_alerts(
+    tables: BatchTables,
+    params: RuleParams,
+    scale: ScaleParams | None = None,
+    also: Callable[[DataFrame], DataFrame] | None = None,
+):
+    """A foreachBatch function for transactions: alerts of the three rules, and those of ``also``.
+
+    What an account did in earlier batches is a row of its own that comes before its records, so
+    running values go on from there, in chunks where an account is hot. Records without an
+    account are judged by the amount rule alone, as in the batch.
+    """
+    cents, count = history_sums().values()
+    place = last_place()["previous"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        before = tables.read("history", batch_id)
+        records = batch.where(F.col("account_id").isNotNull()).select(
+            "account_id",
+            "transaction_id",
+            "amount",
+            "city",
+            "event_ts",
+            "arrival",
+            cents.cast(_TOTAL).alias("total_cents"),
+            count.alias("n"),
+            place.cast(_PLACE).alias("place"),
+        )
+        carried = before.select(*_HISTORY.fieldNames(), F.lit(_CARRIED).alias("arrival"))
+        rows = records.unionByName(carried, allowMissingColumns=True)
+        sums = {"prior_cents": F.col("total_cents"), "prior_count": F.col("n")}
+        history = running(
+            rows, ["account_id"], "arrival", sums=sums, last={"previous": F.col("place")}, scale=scale
+        ).withColumn("prior_cents", F.col("prior_cents").cast(_TOTAL))
+        found = judged_by_history(history.where(F.col("arrival") > _CARRIED), params).unionByName(
+            large_amount(batch.where(F.col("account_id").isNull()), params)
+        )
+        if also is not None:
+            found = found.unionByName(also(batch))
+        tables.put("alerts", batch_id, found.withColumn("alert_ts", F.date_trunc("MILLISECOND", "alert_ts")))
+        after = rows.groupBy("account_id").agg(
+            F.sum("total_cents").cast(_TOTAL).alias("total_cents"),
+            F.sum("n").alias("n"),
+            F.max_by("place", F.when(F.col("place").isNotNull(), F.col("arrival"))).alias("place"),
+        )
+        tables.write(batch_id, {"history": after})
+
+    return write

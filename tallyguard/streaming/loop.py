@@ -4,7 +4,7 @@ Each step is a streaming query of its own, and durable tables lie between them:
 
 1. records of the transaction topic are decoded, get their partition's stream time and the
    count of their window, and are written with them; unreadable ones become letters;
-2. the rules read these transactions and append alerts, each rule exactly once;
+2. the rules read these transactions and append alerts, batch by batch with a commit;
 3. settlement reads the transactions and the alerts, keeps balances and freezes, and
    writes outcomes, ledger, balances and letters, batch by batch with a commit.
 
@@ -26,7 +26,8 @@ from tallyguard.params import RuleParams, ScaleParams
 from tallyguard.schemas import ALERT, DEAD_LETTER
 from tallyguard.session import ROCKSDB_PROVIDER
 from tallyguard.sources.transactions import decode_records, decoded_transactions
-from tallyguard.streaming.account_rules import account_alerts
+from tallyguard.streaming.account_rules import account_rule_tables, write_account_alerts
+from tallyguard.streaming.run import start_drain
 from tallyguard.streaming.settlement import batch_settlement_tables, settle_batches
 from tallyguard.streaming.tables import BatchTables, TableSpec
 from tallyguard.streaming.velocity import (
@@ -59,6 +60,10 @@ class StreamingLoop:
         letters = {"letters": TableSpec(DEAD_LETTER)}
         return BatchTables(self.spark, f"{self.base}/decoded", {**TIMED, **letters})
 
+    @property
+    def raised(self) -> BatchTables:
+        return account_rule_tables(self.spark, f"{self.base}/raised")
+
     @property
     def settled(self) -> BatchTables:
         return batch_settlement_tables(self.spark, f"{self.base}/settled")
@@ -83,45 +88,35 @@ class StreamingLoop:
             finally:
                 records.unpersist()
 
-        self._drain(self.records.writeStream.foreachBatch(write_both), "take-in")
+        start_drain(self.records, f"{self.base}/checkpoints/take-in", write_both)
 
     def raise_alerts(self) -> None:
-        """Two queries side by side: they share only their input."""
-        rules = {
-            "account": account_alerts(self._transactions(), self.params),
-            "velocity": counted_velocity(self._transactions(), self.params),
-        }
-        running = []
-        for name, alerts in rules.items():
-            sink = alerts.select(*ALERT.fieldNames()).writeStream.format("parquet").outputMode("append")
-            sink = sink.option("path", f"{self.base}/alerts/{name}")
-            running.append(self._start(sink, f"alerts-{name}"))
-        for query in running:
-            query.awaitTermination()
+        """All rules in one query, as they read the same transactions."""
+        rules = write_account_alerts(
+            self.raised, self.params, self.scale, lambda batch: counted_velocity(batch, self.params)
+        )
+        start_drain(self._transactions(), f"{self.base}/checkpoints/alerts", rules)
 
     def settle(self) -> None:
         # All alerts come with the first batch; transactions may take several.
-        alerts = [self.alert_stream(name) for name in ("account", "velocity")]
         settle_batches(
             self._transactions(),
             self.accounts,
             self.ledger,
-            alerts[0].unionByName(alerts[1]),
+            self.alert_stream(),
             self.settled,
             f"{self.base}/checkpoints/settle",
             self.scale,
         )
 
-    def alert_stream(self, name: str) -> DataFrame:
-        return self.spark.readStream.schema(ALERT).parquet(f"{self.base}/alerts/{name}")
+    def alert_stream(self) -> DataFrame:
+        """The alerts as a stream; started only while nothing writes them."""
+        alerts = self.spark.readStream.schema(ALERT).parquet(f"{self.raised.base}/alerts")
+        return alerts.select(*ALERT.fieldNames())
 
     def alerts(self) -> DataFrame:
         """All alerts so far."""
-        found = [
-            self.spark.read.schema(ALERT).parquet(f"{self.base}/alerts/{name}")
-            for name in ("account", "velocity")
-        ]
-        return found[0].unionByName(found[1])
+        return self.raised.read("alerts").select(*ALERT.fieldNames())
 
     def dead_letters(self) -> DataFrame:
         """Letters of unreadable records, of refused transactions and of alerts without an account."""
@@ -133,13 +128,6 @@ class StreamingLoop:
     def _transactions(self) -> DataFrame:
         return read_timed(self.spark, self.decoded.base, self.batches_per_trigger)
 
-    def _start(self, writer, name: str):
-        path = f"{self.base}/checkpoints/{name}"
-        return writer.option("checkpointLocation", path).trigger(availableNow=True).start()
-
-    def _drain(self, writer, name: str) -> None:
-        self._start(writer, name).awaitTermination()
-
 
 def as_records(txns: DataFrame) -> DataFrame:
     """Transactions as the records of a topic that carries them as JSON; arrivals are offsets."""
