@@ -60,22 +60,23 @@ def decode_records(raw: DataFrame, value_format: str = "json") -> DataFrame:
     ``raw`` has key, value, partition, offset and timestamp. Formats are
     ``json``, ``avro``, and ``avro-registry`` for values with a registry header.
     """
-    key = F.col("key").cast("string")
     if value_format == "json":
-        record = F.from_json(F.col("value").cast("string"), TRANSACTION_WIRE)
-        complete = record["transactionId"].isNotNull() & record["accountId"].isNotNull()
-        known = record["type"].isin(TRANSACTION_TYPES)
-        whole = record["amount"].isNotNull() & record["timestamp"].isNotNull()
-        decoded = F.when(complete & known & whole, record)
+        parsed = F.from_json(F.col("value").cast("string"), TRANSACTION_WIRE)
+        complete = F.expr("parsed.transactionId IS NOT NULL AND parsed.accountId IS NOT NULL")
+        known = F.col("parsed.type").isin(TRANSACTION_TYPES)
+        whole = F.expr("parsed.amount IS NOT NULL AND parsed.timestamp IS NOT NULL")
+        decoded = F.when(complete & known & whole, F.col("parsed"))
     else:
         from pyspark.sql.avro.functions import from_avro
 
         value = F.col("value")
         if value_format == "avro-registry":
             value = F.expr(f"substring(value, {REGISTRY_HEADER + 1})")
-        decoded = from_avro(value, TRANSACTION_AVRO, {"mode": "PERMISSIVE"})
-    return raw.select(
-        key.alias("key"),
+        parsed = from_avro(value, TRANSACTION_AVRO, {"mode": "PERMISSIVE"})
+        decoded = F.col("parsed")
+    # Parsed in a step of its own: in one with the checks, each of them parses the value again.
+    return raw.select("*", parsed.alias("parsed")).select(
+        F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
         "partition",
         "offset",

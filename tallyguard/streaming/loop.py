@@ -77,16 +77,19 @@ class StreamingLoop:
 
     def take_in(self) -> None:
         decoded = self.decoded
-        write = write_timed(decoded, self.params, self.scale)
+        write = write_timed(decoded, self.params, self.scale, stored=True)
+        unreadable = F.col("decoded").isNull()
 
         def write_both(batch: DataFrame, batch_id: int) -> None:
-            records = decode_records(batch, self.value_format).persist()
-            try:
-                letters = unreadable_dead_letters(records)
-                letters.write.mode("overwrite").parquet(f"{decoded.base}/letters/batch_id={batch_id}")
-                write(decoded_transactions(records), batch_id)
-            finally:
-                records.unpersist()
+            # Written once, as each reader would decode the values again; letters alone need the text.
+            records = decode_records(batch, self.value_format)
+            records = records.withColumns({n: F.when(unreadable, F.col(n)) for n in ("key", "value")})
+            path = f"{decoded.base}/taken"
+            records.write.mode("overwrite").parquet(path)
+            records = self.spark.read.schema(records.schema).parquet(path)
+            letters = unreadable_dead_letters(records)
+            letters.write.mode("overwrite").parquet(f"{decoded.base}/letters/batch_id={batch_id}")
+            write(decoded_transactions(records), batch_id)
 
         start_drain(self.records, f"{self.base}/checkpoints/take-in", write_both)
 

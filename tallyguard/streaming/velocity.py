@@ -58,6 +58,8 @@ _OPEN = StructType(
         StructField("in_window", LongType()),
     ]
 )
+#: Most rows of one broker partition that are put in order in one task.
+TIME_CHUNK_ROWS = 250_000
 TIMED = {
     "timed": TableSpec(_TIMED),
     "stream_time": TableSpec(_PARTITION_TIME, ("partition",)),
@@ -69,18 +71,22 @@ def timed_tables(spark: SparkSession, base: str) -> BatchTables:
     return BatchTables(spark, base, TIMED)
 
 
-def write_timed(tables: BatchTables, params: RuleParams, scale: ScaleParams | None = None):
+def write_timed(
+    tables: BatchTables, params: RuleParams, scale: ScaleParams | None = None, stored: bool = False
+):
     """A foreachBatch function: transactions with stream time and window count at each of them.
 
     Within a batch both are running values, in chunks where a partition or a window holds
     many rows. Records without an account do not advance the time. ``in_window`` counts the
     records of the account's window up to this one; late records and those without an
     account have none. Windows that the partition's time has closed are not carried on.
+    A ``stored`` batch is read from files, others are kept for the time they are read.
     """
     open_ms = (params.window_seconds + params.grace_seconds) * 1000
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        if not stored:
+            batch.persist()
         try:
             carried = tables.read("stream_time", batch_id).select(
                 "partition", F.col("stream_ms").alias("carried")
@@ -110,7 +116,8 @@ def write_timed(tables: BatchTables, params: RuleParams, scale: ScaleParams | No
             )
             tables.write(batch_id, {"open_windows": still}, None)
         finally:
-            batch.unpersist()
+            if not stored:
+                batch.unpersist()
 
     return write
 
@@ -148,7 +155,13 @@ def _count_windows(
 def add_stream_time(
     txns: DataFrame, carried: DataFrame, scale: ScaleParams | None = None
 ) -> DataFrame:
-    """``txns`` with ``stream_ms``, the highest broker time of the partition up to each record."""
+    """``txns`` with ``stream_ms``, the highest broker time of the partition up to each record.
+
+    A topic has few partitions, so they are cut into smaller runs than accounts are: else no
+    more tasks than partitions would put a batch in order.
+    """
+    rows = min((scale or ScaleParams()).chunk_rows, TIME_CHUNK_ROWS)
+    scale = ScaleParams(chunk_rows=rows)
     time = F.when(F.col("account_id").isNotNull(), F.unix_millis("record_ts"))
     timed = running(
         txns, ["partition"], "arrival", maxima={"_own": time}, include_current=True, scale=scale

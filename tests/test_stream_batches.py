@@ -8,9 +8,12 @@ from test_stream_loop import NOW, RULES, SMALL, loop_of, numbers, tables_of, txn
 
 from tallyguard.operators import balance, rules
 from tallyguard.operators.ledger import freezes_from_alerts
+from tallyguard.operators.ordered import running
 from tallyguard.params import ScaleParams
 from tallyguard.plans import derived
 from tallyguard.schemas import ALERT
+from tallyguard.sources.transactions import decode_records
+from tallyguard.streaming import velocity
 from tallyguard.streaming.account_rules import account_rule_tables, write_account_alerts
 from tallyguard.streaming.alerts import first_alert_tables, write_first
 from tallyguard.streaming.balances import settlement_rows
@@ -145,3 +148,21 @@ def test_the_loop_raises_alerts_without_a_state_per_account(spark, tmp_path):
     loop.cycle()
     assert not list((tmp_path / "loop" / "checkpoints").glob("*/state"))
     assert loop.alerts().count() == rules.all_alerts(txns, RULES).count() > 0
+
+
+def test_a_value_is_parsed_once(spark):
+    records = as_records(derived.transactions(spark, SMALL)).limit(5).localCheckpoint()
+    plan = decode_records(records)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+def test_stream_time_in_small_runs(spark, monkeypatch):
+    """Three partitions in runs of 100 arrivals, with a time carried past all of one of them."""
+    txns = derived.transactions(spark, SMALL).cache()
+    carried = spark.createDataFrame([(0, 10**13), (1, 0)], "partition int, carried long")
+    whole = texts(velocity.add_stream_time(txns, carried))
+    found = []
+    monkeypatch.setattr(velocity, "TIME_CHUNK_ROWS", 100)
+    monkeypatch.setattr(velocity, "running", lambda *a, **k: found.append(k["scale"]) or running(*a, **k))
+    assert texts(velocity.add_stream_time(txns, carried)) == whole
+    assert [s.chunk_rows for s in found] == [100]
